@@ -14,49 +14,51 @@ from tariffworks.functions.columns import found, lookup, squeeze, strip, title_c
 
 
 # --- amounts ----------------------------------------------------------------
-
-def _number(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
-
+#
+# Expressions below use their input once.  A chain that repeats its input grows
+# with every step and soon exceeds what Spark can compile to one method.
 
 def scale_amount(amount: Column, unit: Column) -> Column:
     """Bring an amount to millions by its unit; no unit means plain dollars."""
     unit = F.lower(unit)
-    return (
-        F.when(unit.isin("billion", "b"), F.round(amount * 1000, 3))
-        .when(unit.isin("million", "m"), F.round(amount, 3))
-        .otherwise(F.round(amount / 1_000_000, 3))
-    )
+    factor = F.when(unit.isin("billion", "b"), 1000.0).when(unit.isin("million", "m"), 1.0)
+    return F.round(F.coalesce(amount * factor, amount / 1_000_000), 3)
 
 
 def _amount_in(match: Column) -> Column:
-    """Amount in a short piece of text that a pattern has already found."""
-    return scale_amount(
-        _number(F.regexp_extract(match, V.AMOUNT, 1)),
-        F.regexp_extract(match, V.DOLLAR_WITH_UNIT, 2),
-    )
+    """Amount in a short piece of text that a pattern has already found.
+
+    The unit becomes the exponent of a decimal number: "$2.8 billion" -> "2.8e3".
+    """
+    number = F.regexp_extract(match, rf"(?i){V.AMOUNT}\s*{V.UNIT}?", 0)
+    number = F.regexp_replace(number, r"[$,\s]", "")
+    number = F.regexp_replace(number, r"(?i)b(?:illion)?$", "e3")
+    number = F.regexp_replace(number, r"(?i)m(?:illion)?$", "e0")
+    number = F.regexp_replace(number, r"^([\d.]+)$", "$1e-6")
+    return F.round(number.try_cast("double"), 3)
 
 
 def _plain_amount_in(match: Column) -> Column:
-    """Amount without a unit; amounts under a thousand dollars are dropped."""
-    millions = F.round(_number(F.regexp_extract(match, V.DOLLAR_PLAIN, 1)) / 1_000_000, 3)
-    return F.when(millions >= 0.001, millions)
+    """Amount without a unit; what rounds to nothing is dropped."""
+    number = F.regexp_replace(F.regexp_extract(match, V.DOLLAR_PLAIN, 1), ",", "")
+    return F.nullif(F.round(number.try_cast("double") / 1_000_000, 3), F.lit(0.0))
 
 
-def _signed(text: Column, amount: Column) -> Column:
-    return F.when(text.rlike(V.DECREASE_WORDS), -amount).otherwise(amount)
+def _sign(text: Column) -> Column:
+    return F.when(text.rlike(V.DECREASE_WORDS), -1.0).otherwise(1.0)
 
 
 def parse_dollar(text: Column) -> Column:
     """First amount in the text: one with a unit if there is any, else a plain one."""
-    with_unit = found(text, V.DOLLAR_WITH_UNIT, 0)
-    plain = found(text, V.DOLLAR_PLAIN, 0)
-    return F.when(with_unit.isNotNull(), _amount_in(with_unit)).otherwise(_plain_amount_in(plain))
+    return F.coalesce(
+        _amount_in(F.regexp_extract(text, V.DOLLAR_WITH_UNIT, 0)),
+        _plain_amount_in(F.regexp_extract(text, V.DOLLAR_PLAIN, 0)),
+    )
 
 
 def extract_dollar(text: Column) -> Column:
     """As :func:`parse_dollar`, negative if the text speaks of a decrease."""
-    return _signed(text, parse_dollar(text))
+    return parse_dollar(text) * _sign(text)
 
 
 def extract_all_dollars(text: Column) -> Column:
@@ -66,7 +68,7 @@ def extract_all_dollars(text: Column) -> Column:
     amounts = F.when(F.size(with_unit) > 0, F.transform(with_unit, _amount_in)).otherwise(
         F.transform(plain, _plain_amount_in)
     )
-    signed = F.transform(F.array_compact(amounts), lambda x: _signed(text, x))
+    signed = F.transform(F.array_compact(amounts), lambda x: x * _sign(text))
     return F.coalesce(signed, F.array().cast("array<double>"))
 
 
@@ -99,28 +101,21 @@ def parse_percent(text: Column) -> Column:
 # --- dates ------------------------------------------------------------------
 
 def safe_date(year: Column, month: Column, day: Column) -> Column:
-    """A date, or null where the parts do not make one.
-
-    The guard comes first, so no row pays for an exception inside a parser.
-    """
-    year, month, day = (x.try_cast("int") for x in (year, month, day))
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    month_length = (
-        F.when(month == 2, F.when(leap, 29).otherwise(28))
-        .when(month.isin(4, 6, 9, 11), 30)
-        .otherwise(31)
-    )
-    valid = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= month_length)
-    return F.when(valid, F.make_date(year, month, day))
+    """A date, or null where the parts do not make one."""
+    parts = [x.cast("string") for x in (year, month, day)]
+    return F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2]).try_cast("date")
 
 
-def _month_number(name: Column) -> Column:
-    """Number of a month given by its full name or its first three letters."""
-    name = F.lower(name)
-    chain = F.lit(None).cast("int")
-    for number, month in reversed(list(enumerate(V.MONTHS, start=1))):
-        chain = F.when(name.isin(month.lower(), month[:3].lower()), number).otherwise(chain)
-    return chain
+# Styles a date is written in, and the same as year-month-day.
+_DATE_STYLES = [
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
+    (r"^([A-Za-z]+) (\d{1,2}),? (\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2}) ([A-Za-z]+) (\d{4})$", "$3-$2-$1"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+]
 
 
 def parse_date(text: Column) -> Column:
@@ -128,41 +123,20 @@ def parse_date(text: Column) -> Column:
 
     Year first, US numeric with two or four year digits (two digits from 69 up
     are in the 1900s), dashes, month names before or after the day, and eight
-    digits in a row.
+    digits in a row.  Every style is rewritten to year-month-day, then cast.
     """
     t = squeeze(text)
-
-    def numeric(pattern: str, y: int, m: int, d: int) -> Column:
-        return F.when(t.rlike(pattern), safe_date(*[F.regexp_extract(t, pattern, i) for i in (y, m, d)]))
-
-    def named(pattern: str, y: int, m: int, d: int) -> Column:
-        parts = [F.regexp_extract(t, pattern, i) for i in (y, m, d)]
-        return F.when(t.rlike(pattern), safe_date(parts[0], _month_number(parts[1]), parts[2]))
-
-    short = r"^(\d{1,2})/(\d{1,2})/(\d{2})$"
-    yy = F.regexp_extract(t, short, 3).try_cast("int")
-    century = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
-    two_digit = F.when(
-        t.rlike(short),
-        safe_date(century, F.regexp_extract(t, short, 1), F.regexp_extract(t, short, 2)),
-    )
-    return F.coalesce(
-        numeric(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3),
-        numeric(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3, 1, 2),
-        two_digit,
-        numeric(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", 3, 1, 2),
-        named(r"^([A-Za-z]+) (\d{1,2}),? (\d{4})$", 3, 1, 2),
-        named(r"^(\d{1,2}) ([A-Za-z]+) (\d{4})$", 3, 2, 1),
-        numeric(r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
-    )
+    for style, rewritten in _DATE_STYLES:
+        t = F.regexp_replace(t, style, rewritten)
+    for number, month in enumerate(V.MONTHS, start=1):
+        t = F.regexp_replace(t, f"(?i)-{month[:3]}(?:{month[3:]})?-", f"-{number}-")
+    return F.regexp_extract(t, r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
 
 
 def parse_date_state(text: Column) -> Column:
     """Date in one of the three styles used by state dockets, or null."""
-    t = strip(text)
-    return F.when(
-        t.rlike(r"^(\d{1,2}/\d{1,2}/(\d{2}|\d{4})|\d{4}-\d{1,2}-\d{1,2})$"), parse_date(t)
-    )
+    style = r"^(?:\d{1,2}/\d{1,2}/(?:\d{2}|\d{4})|\d{4}-\d{1,2}-\d{1,2})$"
+    return parse_date(F.regexp_extract(strip(text), style, 0))
 
 
 def extract_date(text: Column) -> Column:
