@@ -169,8 +169,8 @@ def best_similar(left: DataFrame, right: DataFrame, threshold: int, tiers: tuple
         ).join(partner, ["block", "right_name"])
         found.append(
             scored.groupBy("block", "left_name").agg(
-                F.max_by(
-                    F.struct("value", "score"), F.struct(F.col("score"), -F.col("rank"))
+                F.min_by(
+                    F.struct("value", "score"), F.struct(-F.col("score"), F.col("rank"))
                 ).alias("best")
             ).select("block", "left_name", "best.value", "best.score")
         )
