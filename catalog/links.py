@@ -216,7 +216,9 @@ def _ingested(s, d):
 
 def _enriched(s, d):
     """Rows of each enrichment table and what identifies them best."""
-    out = jobs.enrich(A.rate_cases(s, d), A.linkage_left(s, d), A.linkage_right(s, d),
+    operations = A.linkage_right(s, d).withColumns({
+        "year": lit(2001), "total_customers": c("seq") + 1, "residential_avg_price": lit(12.0)})
+    out = jobs.enrich(A.rate_cases(s, d), A.linkage_left(s, d), operations,
                       A.linkage_emissions(s, d), A.generators(s, d), 2001, 2001)
     return out["utility_eia_links"].select(lit("links").alias("part"), c("match_method").alias("what")).unionByName(
         out["utility_emissions"].select(lit("emissions").alias("part"), c("is_linked").cast("int").cast("string").alias("what"))

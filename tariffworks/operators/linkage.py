@@ -14,6 +14,7 @@ from tariffworks.fixed_values import CROSS_STATE_BONUS, LINK_THRESHOLD
 from tariffworks.functions.names import norm_for_match, token_sort_form
 from tariffworks.operators.firstwins import dedupe_eia
 from tariffworks.operators.similarity import best_similar
+from tariffworks.session import cut_lineage
 
 
 def _upper(column: str):
@@ -81,8 +82,8 @@ def _fuzzy(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
 def link_stages(utilities: DataFrame, records: DataFrame, threshold: int = LINK_THRESHOLD,
                 cross_bonus: int = CROSS_STATE_BONUS) -> dict[str, DataFrame]:
     """The links each stage finds, plus what is left ('unmatched')."""
-    by_state, by_name = reference_names(records)
-    staged = _exact(left_names(utilities), by_state)
+    by_state, by_name = (cut_lineage(x) for x in reference_names(records))
+    staged = cut_lineage(_exact(left_names(utilities), by_state))
     columns = ["link_name", "link_state"]
     exact = staged.filter(F.col("exact_id").isNotNull()).select(
         *columns, F.col("exact_id").alias("eia_utility_id"),

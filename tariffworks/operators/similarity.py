@@ -101,11 +101,17 @@ def _keys(names: DataFrame, threshold: int, is_right: bool) -> DataFrame:
         placed = (
             placed.withColumn("low", low).withColumn("high", high)
             .filter(F.col("low") <= F.col("high"))
-            .withColumn("start", F.explode(F.sequence("low", "high")))
         )
-    text = F.substring(F.col("name"), F.col("start") + 1, F.col("size"))
-    key = F.xxhash64("block", left_len, right_len, number, text)
-    return placed.select("block", "name", "bag", "edits", key.alias("key")).distinct()
+        starts = F.sequence("low", "high")
+    else:
+        starts = F.array("start")
+    # A text that repeats within the window would only repeat the same key.
+    texts = F.array_distinct(
+        F.transform(starts, lambda at: F.substring(F.col("name"), at + 1, F.col("size")))
+    )
+    placed = placed.withColumn("text", F.explode(texts))
+    key = F.xxhash64("block", left_len, right_len, number, "text")
+    return placed.select("block", "name", "bag", "edits", key.alias("key"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
@@ -152,26 +158,26 @@ def best_similar(left: DataFrame, right: DataFrame, threshold: int, tiers: tuple
     wins.  Equal names are found first, then names above each tier, and only
     what is left goes on: a name's best partner cannot be below a tier where it
     has one.  Near-copies, which would otherwise meet under every piece, are
-    gone before the loose and costly last step.
+    gone before the loose and costly last step.  Each step is stored, because
+    all later ones read it.
     """
     right = right.withColumnRenamed("name", "right_name")
     partner = right.select("block", "right_name", "value", "rank")
     equal = left.join(
         partner, (left["block"] == partner["block"]) & (left["name"] == partner["right_name"])
     ).select(left["block"], F.col("name").alias("left_name"), "value", F.lit(100).alias("score"))
-    found = [equal]
+    found = [cut_lineage(equal)]
     rest = left
     for tier in [t for t in tiers if t > threshold] + [threshold]:
         done = found[-1].select("block", F.col("left_name").alias("name"))
-        rest = cut_lineage(rest.join(done, ["block", "name"], "left_anti"))
+        rest = rest.join(done, ["block", "name"], "left_anti")
         scored = similar_names(
             rest, right.select("block", F.col("right_name").alias("name")), tier
         ).join(partner, ["block", "right_name"])
-        found.append(
-            scored.groupBy("block", "left_name").agg(
-                F.min_by(
-                    F.struct("value", "score"), F.struct(-F.col("score"), F.col("rank"))
-                ).alias("best")
-            ).select("block", "left_name", "best.value", "best.score")
+        best = scored.groupBy("block", "left_name").agg(
+            F.min_by(
+                F.struct("value", "score"), F.struct(-F.col("score"), F.col("rank"))
+            ).alias("best")
         )
+        found.append(cut_lineage(best.select("block", "left_name", "best.value", "best.score")))
     return reduce(DataFrame.unionByName, found)
