@@ -128,12 +128,12 @@ def _utilities_merge(s, d):
     return merge.merge_utilities(old, batch)
 
 
-def _year_merge(table, how, key, partial, old_years):
-    """Merge a table into its own earlier years; ``partial`` changes the arriving rows."""
+def _year_merge(table, how, partial, old_rows):
+    """Merge a table into some of its own rows; ``partial`` changes the arriving rows."""
     def run(s, d):
         rows = table(s, d)
         rows = rows.drop("seq") if "seq" in rows.columns else rows
-        return how(rows.filter(old_years), partial(rows).withColumn("seq", lit(1)))
+        return how(rows.filter(old_rows()), partial(rows).withColumn("seq", lit(1)))
     return run
 
 
@@ -258,16 +258,16 @@ QUERIES = {
     "merge_store": _store,
     "merge_utilities": _utilities_merge,
     "merge_operations": _year_merge(
-        A.utility_operations, merge.merge_operations, None,
+        A.utility_operations, merge.merge_operations,
         lambda rows: rows.withColumn("total_customers", F.when(c("year") % 2 == 1, c("total_customers") + 1)),
-        c("year") <= 1998),
+        lambda: c("year") <= 1998),
     "merge_emissions": _year_merge(
-        A.utility_emissions, merge.merge_emissions, None,
-        lambda rows: rows.withColumn("co2_tons", F.when(c("year") % 2 == 1, c("co2_tons") + 1)), c("year") <= 1998),
+        A.utility_emissions, merge.merge_emissions,
+        lambda rows: rows.withColumn("co2_tons", F.when(c("year") % 2 == 1, c("co2_tons") + 1)), lambda: c("year") <= 1998),
     "merge_capacity": _year_merge(
-        capacity, merge.merge_capacity, None,
+        capacity, merge.merge_capacity,
         lambda rows: rows.withColumn("num_plants", F.when(c("num_plants") % 2 == 1, c("num_plants") + 1000)),
-        c("num_generators") % 2 == 0),
+        lambda: c("num_generators") % 2 == 0),
     "merge_links": _links_merge,
     "merge_impacts": _impacts_merge,
     "append_documents": _documents,

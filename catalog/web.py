@@ -10,7 +10,10 @@ from tariffworks.operators.firstwins import longest_context
 from tariffworks.plans import adapters as A
 
 c = F.col
-page = F.col("html")
+
+
+def page():
+    return F.col("html")
 
 
 def _per_page(**values):
@@ -39,15 +42,15 @@ def _title_context(s, d):
 
 QUERIES = {
     "html_table_rows": lambda s, d: _rows(s, d).drop("row_no"),
-    "html_best_text": _per_page(value=lambda: html.best_text(page)),
+    "html_best_text": _per_page(value=lambda: html.best_text(page())),
     "html_label_value": _per_page(
-        status=lambda: html.label_value(page, "Status"), service=lambda: html.label_value(page, "Utility Type"),
-        kind=lambda: html.label_value(page, "Type of Case")),
+        status=lambda: html.label_value(page(), "Status"), service=lambda: html.label_value(page(), "Utility Type"),
+        kind=lambda: html.label_value(page(), "Type of Case")),
     "html_case_fields": lambda s, d: P.case_fields(A.pages(s, d)),
-    "html_titles": _per_page(value=lambda: F.array_join(html.titles(page, WEB_LINK), "|")),
-    "html_best_title": _per_page(value=lambda: html.best_title(html.titles(page))),
-    "html_companies": _per_page(value=lambda: F.array_join(html.companies(page), "|")),
-    "earliest_date": _per_page(value=lambda: html.earliest_date(page)),
+    "html_titles": _per_page(value=lambda: F.array_join(html.titles(page(), WEB_LINK), "|")),
+    "html_best_title": _per_page(value=lambda: html.best_title(html.titles(page()))),
+    "html_companies": _per_page(value=lambda: F.array_join(html.companies(page()), "|")),
+    "earliest_date": _per_page(value=lambda: html.earliest_date(page())),
     "html_refs_context": lambda s, d: P.docket_references(A.pages(s, d)),
     "longest_context": lambda s, d: longest_context(A.table(s, d, "documents").select(
         F.concat_ws("-", "source", "lang").alias("docket_number"), c("text").alias("context"), c("doc_id").alias("seq"))),

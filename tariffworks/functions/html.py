@@ -7,6 +7,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tariffworks import fixed_values as V
 from tariffworks.functions.columns import found, squeeze, strip
@@ -23,7 +24,7 @@ _OTHER_ENTITY = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape_all(text: pd.Series) -> pd.Series:
     return text.map(_html.unescape, na_action="ignore")
 

@@ -21,10 +21,14 @@ def _credit(condition: Column, value: float = 1.0) -> Column:
     return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
 
+def _flag(flag: Column | None) -> Column:
+    return F.lit(0.0) if flag is None else _credit(F.coalesce(flag, F.lit(False)))
+
+
 def quality_components(
-    has_eia_link: Column = F.lit(False),
-    has_emissions: Column = F.lit(False),
-    has_impact: Column = F.lit(False),
+    has_eia_link: Column | None = None,
+    has_emissions: Column | None = None,
+    has_impact: Column | None = None,
 ) -> dict[str, Column]:
     """Credit from 0 to 1 for each component of the score of a rate case."""
     open_case = F.coalesce(c("status").isin("active", "filed"), F.lit(False))
@@ -44,9 +48,9 @@ def quality_components(
         "has_revenue_approved_amount": _credit(c("approved_revenue_change").isNotNull()),
         "has_case_status": _credit(_present(c("status")) & (c("status") != "unknown")),
         "has_source_url": _credit(_present(c("source_url"))),
-        "has_eia_data_linked": _credit(F.coalesce(has_eia_link, F.lit(False))),
-        "has_emissions_data": _credit(F.coalesce(has_emissions, F.lit(False))),
-        "has_customer_impact": _credit(F.coalesce(has_impact, F.lit(False))),
+        "has_eia_data_linked": _flag(has_eia_link),
+        "has_emissions_data": _flag(has_emissions),
+        "has_customer_impact": _flag(has_impact),
     }
 
 

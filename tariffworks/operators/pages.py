@@ -12,13 +12,16 @@ from tariffworks.functions.dockets import strip_retention
 from tariffworks.functions.rules import has_rate_prefix, is_rate_title
 from tariffworks.functions.text import parse_date_state
 
-page = F.col("html")
+
+
+def _page() -> Column:
+    return F.col("html")
 
 
 def result_rows(pages: DataFrame) -> DataFrame:
     """Rows of docket search results: one row per table row that names a docket."""
     rows = pages.select(
-        "page_id", F.posexplode(html.table_rows(page)).alias("row_no", "row")
+        "page_id", F.posexplode(html.table_rows(_page())).alias("row_no", "row")
     ).withColumn("cells", html.table_cells(F.col("row")))
     clean = rows.filter(F.size("cells") >= 4).withColumn(
         "clean", F.transform("cells", html.clean_cell)
@@ -39,45 +42,45 @@ def result_rows(pages: DataFrame) -> DataFrame:
 
 def case_fields(pages: DataFrame) -> DataFrame:
     """Labelled fields, companies and titles of case pages."""
-    status_text = html.label_value(page, "Status")
-    titles = html.titles(page)
+    status_text = html.label_value(_page(), "Status")
+    titles = html.titles(_page())
     return pages.select(
         "page_id",
-        found(page, r"Docket Sheet - ([A-Z]{2}-\d{4}-\d{3,5})").alias("docket_number"),
+        found(_page(), r"Docket Sheet - ([A-Z]{2}-\d{4}-\d{3,5})").alias("docket_number"),
         status_text.alias("status_text"),
         parse_date_state(found(status_text, r"\((\d{1,2}/\d{1,2}/\d{4})\)")).alias("decision_date"),
-        html.label_value(page, "Utility Type").alias("utility_type_text"),
-        html.label_value(page, "Type of Case").alias("case_type_text"),
-        html.label_value(page, "Style of Case").alias("style"),
+        html.label_value(_page(), "Utility Type").alias("utility_type_text"),
+        html.label_value(_page(), "Type of Case").alias("case_type_text"),
+        html.label_value(_page(), "Style of Case").alias("style"),
         html.best_title(titles).alias("best_title"),
-        html.earliest_date(page).alias("filing_date"),
+        html.earliest_date(_page()).alias("filing_date"),
     )
 
 
 def labelled_fields(pages: DataFrame) -> DataFrame:
     """Six labelled fields of a proceeding page."""
-    industry = F.lower(html.labelled_field(page, "Industry"))
-    status = F.lower(html.labelled_field(page, "Status"))
+    industry = F.lower(html.labelled_field(_page(), "Industry"))
+    status = F.lower(html.labelled_field(_page(), "Status"))
     return pages.select(
         "page_id",
-        html.labelled_field(page, r"Filed\s*By|Filer").alias("utility_name"),
+        html.labelled_field(_page(), r"Filed\s*By|Filer").alias("utility_name"),
         first_word(industry, V.TYPE_WORDS_CA, None).alias("utility_type"),
         parse_date_state(
-            html.labelled_field(page, r"Filing\s*Date", r"(\d{1,2}/\d{1,2}/\d{4})")
+            html.labelled_field(_page(), r"Filing\s*Date", r"(\d{1,2}/\d{1,2}/\d{4})")
         ).alias("filing_date"),
         F.when(status.contains("clos") | status.contains("final"), "decided")
         .when(status.contains("active") | status.contains("open"), "active")
         .otherwise(status).alias("status"),
-        html.labelled_field(page, "Category").alias("category"),
-        html.labelled_field(page, "Description").alias("description"),
+        html.labelled_field(_page(), "Category").alias("category"),
+        html.labelled_field(_page(), "Description").alias("description"),
     )
 
 
 def _references(pages: DataFrame, pattern: str, kind: int) -> DataFrame:
     places = pages.select(
-        "page_id", "html", F.explode(html.matches_with_place(page, pattern)).alias("m")
+        "page_id", "html", F.explode(html.matches_with_place(_page(), pattern)).alias("m")
     )
-    around = html.surroundings(page, F.col("m.start"), F.col("m.size"))
+    around = html.surroundings(_page(), F.col("m.start"), F.col("m.size"))
     return places.select(
         F.col("m.value").alias("docket_number"),
         html.unescape(squeeze(around) if kind == 0 else around).alias("context"),
@@ -122,11 +125,11 @@ def listing_titles(pages: DataFrame) -> DataFrame:
     listed = pages.select(
         "page_id", "html",
         F.explode(F.array_distinct(
-            F.regexp_extract_all(page, F.lit(html.LISTED_REF), F.lit(1))
+            F.regexp_extract_all(_page(), F.lit(html.LISTED_REF), F.lit(1))
         )).alias("docket_number"),
     )
     titled = listed.select(
-        "page_id", "docket_number", html.title_after(page, F.col("docket_number")).alias("title")
+        "page_id", "docket_number", html.title_after(_page(), F.col("docket_number")).alias("title")
     ).filter(F.col("title").isNotNull())
     return titled.groupBy("docket_number").agg(F.max_by("title", "page_id").alias("title"))
 
@@ -148,32 +151,32 @@ def title_context(references: DataFrame, titles: DataFrame) -> DataFrame:
 
 def div_titles(pages: DataFrame) -> DataFrame:
     """Titles of docket pages that are rate cases."""
-    return pages.select("page_id", html.div_title(page).alias("title")).filter(
+    return pages.select("page_id", html.div_title(_page()).alias("title")).filter(
         F.col("title").isNotNull() & is_rate_title(F.col("title"))
     )
 
 
 def link_ids(pages: DataFrame, link: str = r"/search/facts-docket/\?docketId=") -> DataFrame:
-    return pages.select(F.explode(html.link_ids(page, link)).alias("id")).distinct()
+    return pages.select(F.explode(html.link_ids(_page(), link)).alias("id")).distinct()
 
 
 def docket_scan(pages: DataFrame, pattern: str) -> DataFrame:
     return pages.select(
-        "page_id", F.explode(html.docket_scan(page, pattern)).alias("docket_number")
+        "page_id", F.explode(html.docket_scan(_page(), pattern)).alias("docket_number")
     )
 
 
 def page_gate(pages: DataFrame) -> DataFrame:
     """Pages with flags telling which parsers would read them."""
-    docket = found(page, r"Docket Sheet - ([A-Z]{2}-\d{4}-\d{3,5})")
-    not_found = F.substring(page, 1, 1000).contains("Submission not found")
-    lower = F.lower(page)
+    docket = found(_page(), r"Docket Sheet - ([A-Z]{2}-\d{4}-\d{3,5})")
+    not_found = F.substring(_page(), 1, 1000).contains("Submission not found")
+    lower = F.lower(_page())
     return pages.select(
         "page_id",
         F.coalesce(~not_found & has_rate_prefix(docket), F.lit(False)).alias("is_case_sheet"),
-        ((F.length(page) >= 500) & ~page.contains("Session State Protection"))
+        ((F.length(_page()) >= 500) & ~_page().contains("Session State Protection"))
         .alias("is_proceeding"),
-        (~(lower.contains("javascript") & (F.length(page) < 5000))).alias("is_rendered"),
+        (~(lower.contains("javascript") & (F.length(_page()) < 5000))).alias("is_rendered"),
     )
 
 

@@ -23,7 +23,10 @@ from tariffworks.schemas import RAW_RECORD
 
 def write_changes(batch: DataFrame, batch_id: int, path: str) -> None:
     """Parse one batch of raw records and store its effect."""
-    cases, rejects = parse_record(batch)
+    placed = batch.withColumn(
+        "seq", F.struct("seq", F.monotonically_increasing_id().alias("place"))
+    )
+    cases, rejects = parse_record(placed)
     folded = fold_batch(cases, CASE_KEYS, "seq")
     folded.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
     rejects.drop("seq").write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
@@ -52,7 +55,6 @@ def stream_ingest(spark: SparkSession, raw_path: str, path: str, checkpoint: str
             F.col("_metadata.file_modification_time").alias("at"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("place"),
         ))
     )
     return (
