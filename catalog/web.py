@@ -47,9 +47,9 @@ QUERIES = {
         status=lambda: html.label_value(page(), "Status"), service=lambda: html.label_value(page(), "Utility Type"),
         kind=lambda: html.label_value(page(), "Type of Case")),
     "html_case_fields": lambda s, d: P.case_fields(A.pages(s, d)),
-    "html_titles": _per_page(value=lambda: F.array_join(html.titles(page(), WEB_LINK), "|")),
-    "html_best_title": _per_page(value=lambda: html.best_title(html.titles(page()))),
-    "html_companies": _per_page(value=lambda: F.array_join(html.companies(page()), "|")),
+    "html_titles": lambda s, d: P.page_titles(A.pages(s, d), WEB_LINK).select("page_id", F.array_join("titles", "|").alias("value")),
+    "html_best_title": lambda s, d: P.page_titles(A.pages(s, d)).select("page_id", html.best_title(c("titles")).alias("value")),
+    "html_companies": lambda s, d: P.page_companies(A.pages(s, d)).select("page_id", F.array_join("companies", "|").alias("value")),
     "earliest_date": _per_page(value=lambda: html.earliest_date(page())),
     "html_refs_context": lambda s, d: P.docket_references(A.pages(s, d)),
     "longest_context": lambda s, d: longest_context(A.table(s, d, "documents").select(

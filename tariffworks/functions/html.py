@@ -11,7 +11,6 @@ from pyspark.sql.types import StringType
 
 from tariffworks import fixed_values as V
 from tariffworks.functions.columns import found, squeeze, strip
-from tariffworks.functions.text import parse_date_state
 
 # Entities decoded inside the JVM; "&amp;" is last so that its result is not
 # decoded a second time.
@@ -47,8 +46,8 @@ def unescape(text: Column) -> Column:
 
 def unescape_each(texts: Column) -> Column:
     """:func:`unescape` for every element of an array, as one text with a separator."""
-    joined = F.array_join(texts, "\u0001")
-    return F.when(F.size(texts) > 0, F.split(unescape(joined), "\u0001")).otherwise(texts)
+    joined = unescape(F.array_join(texts, "\u0001"))
+    return F.when(F.size(texts) > 0, F.split(joined, "\u0001")).otherwise(texts)
 
 
 def strip_tags(text: Column, by: str = "") -> Column:
@@ -122,11 +121,14 @@ def label_value(page: Column, label: str) -> Column:
 FILING_LINK = r"/Case/FilingDisplay/\d+"
 
 
-def titles(page: Column, link: str = FILING_LINK) -> Column:
-    """Texts of the links whose address matches, longer than five characters."""
-    texts = _all(page, rf'<a[^>]*href="{link}"[^>]*>([^<]+)</a>')
-    clean = unescape_each(F.transform(texts, strip))
-    return F.filter(clean, lambda x: F.length(x) > 5)
+def raw_titles(page: Column, link: str = FILING_LINK) -> Column:
+    """Texts of the links whose address matches, as they stand in the page."""
+    return F.transform(_all(page, rf'<a[^>]*href="{link}"[^>]*>([^<]+)</a>'), strip)
+
+
+def titles(texts: Column) -> Column:
+    """Decoded link texts longer than five characters."""
+    return F.filter(unescape_each(texts), lambda x: F.length(x) > 5)
 
 
 def best_title(texts: Column) -> Column:
@@ -137,25 +139,41 @@ def best_title(texts: Column) -> Column:
     )
 
 
-def companies(page: Column) -> Column:
-    """Company names on a case page: the section, else the case style, then link labels."""
+def raw_companies(page: Column) -> Column:
+    """What names companies on a case page, as it stands there.
+
+    A struct of the names in the section, the name in the case style and the
+    names in link labels.
+    """
     section = F.regexp_extract(
         page, r"(?s)Subject Companies(.*?)(?:Style of Case|Assigned Judge)", 1
     )
     listed = _all(section, r'(?:title="View"[^>]*>|>)\s*([A-Z][^<(]{3,60}?)\s*(?:<|\()')
-    listed = F.filter(unescape_each(F.transform(listed, strip)), lambda x: F.length(x) > 3)
-    listed = F.transform(listed, lambda x: strip(F.coalesce(found(x, r"d/b/a\s+(.+)"), x)))
     style = strip(found(
         page,
         r"(?:Application|Request|Tariff[s]?)[^<]*?of\s+([A-Z][^<,]{5,60}?)(?:,|\s+for|\s+d/b/a)",
     ))
-    first = F.when(F.size(listed) > 0, listed).otherwise(F.array_compact(F.array(style)))
-    labels = unescape_each(_all(page, r'aria-label="[^"]*relationships for ([^"]+)"'))
+    labels = _all(page, r'aria-label="[^"]*relationships for ([^"]+)"')
+    return F.struct(
+        F.transform(listed, strip).alias("listed"), style.alias("style"), labels.alias("labels")
+    )
+
+
+def companies(raw: Column) -> Column:
+    """Company names: the section, else the case style, then link labels."""
+    listed = F.filter(unescape_each(raw["listed"]), lambda x: F.length(x) > 3)
+    listed = F.transform(listed, lambda x: strip(F.coalesce(found(x, r"d/b/a\s+(.+)"), x)))
+    first = F.when(F.size(listed) > 0, listed).otherwise(
+        F.array_compact(F.array(raw["style"]))
+    )
+    labels = unescape_each(raw["labels"])
     return F.concat(first, F.array_except(labels, first))
 
 
 def earliest_date(page: Column) -> Column:
-    return F.array_min(F.transform(_all(page, r"(\d{1,2}/\d{1,2}/\d{4})"), parse_date_state))
+    dates = F.array_distinct(_all(page, r"(\d{1,2}/\d{1,2}/\d{4})"))
+    iso = lambda x: F.regexp_replace(x, r"(\d+)/(\d+)/(\d+)", "$3-$1-$2")
+    return F.array_min(F.transform(dates, lambda x: iso(x).try_cast("date")))
 
 
 def div_title(page: Column) -> Column:
@@ -184,15 +202,16 @@ def matches_with_place(page: Column, pattern: str, group: int = 1) -> Column:
     The pieces between matches and the matches themselves give each place as a
     running sum of lengths.
     """
-    whole = _all(page, pattern, 0)
-    value = _all(page, pattern, group)
-    pieces = F.split(page, pattern)
+    # Zipped first: an array named inside a lambda would be made again per element.
+    zipped = F.arrays_zip(
+        _all(page, pattern, 0).alias("whole"), F.split(page, pattern).alias("piece")
+    )
     steps = F.transform(
-        whole,
-        lambda m, i: F.struct(
-            F.get(value, i).alias("value"),
-            F.length(F.get(pieces, i)).alias("gap"),
-            F.length(m).alias("size"),
+        F.filter(zipped, lambda m: m["whole"].isNotNull()),
+        lambda m: F.struct(
+            F.regexp_extract(m["whole"], pattern, group).alias("value"),
+            F.length(m["piece"]).alias("gap"),
+            F.length(m["whole"]).alias("size"),
         ),
     )
     start = F.struct(

@@ -23,7 +23,8 @@ def _compiled(rules) -> list[tuple[str, str]]:
 
 
 def _docket_and_text(docket: Column, text: Column) -> Column:
-    return F.lower(F.concat_ws(" ", F.coalesce(docket, F.lit("")), F.coalesce(text, F.lit(""))))
+    # Rules ignore case themselves, so the text is not copied to lower case.
+    return F.concat_ws(" ", F.coalesce(docket, F.lit("")), F.coalesce(text, F.lit("")))
 
 
 def classify_case_type(text: Column, docket: Column, rules=V.CASE_TYPE_RULES) -> Column:

@@ -107,36 +107,46 @@ def safe_date(year: Column, month: Column, day: Column) -> Column:
 
 
 # Styles a date is written in, and the same as year-month-day.
-_DATE_STYLES = [
+_NUMERIC_STYLES = [
     (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
     (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
     (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),
     (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+]
+_NAMED_STYLES = [
     (r"^([A-Za-z]+) (\d{1,2}),? (\d{4})$", "$3-$1-$2"),
     (r"^(\d{1,2}) ([A-Za-z]+) (\d{4})$", "$3-$2-$1"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+] + [
+    (f"(?i)-{month[:3]}(?:{month[3:]})?-", f"-{number}-")
+    for number, month in enumerate(V.MONTHS, start=1)
 ]
 
 
+def _rewritten_date(text: Column, styles: list[tuple[str, str]]) -> Column:
+    t = squeeze(text)
+    for style, rewritten in styles:
+        t = F.regexp_replace(t, style, rewritten)
+    return F.regexp_extract(t, r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
+
+
 def parse_date(text: Column) -> Column:
     """Date written in any of eleven styles, or null.
 
     Year first, US numeric with two or four year digits (two digits from 69 up
     are in the 1900s), dashes, month names before or after the day, and eight
-    digits in a row.  Every style is rewritten to year-month-day, then cast.
+    digits in a row.  A style is rewritten to year-month-day, then cast; month
+    names are looked at only where no numeric style fits.
     """
-    t = squeeze(text)
-    for style, rewritten in _DATE_STYLES:
-        t = F.regexp_replace(t, style, rewritten)
-    for number, month in enumerate(V.MONTHS, start=1):
-        t = F.regexp_replace(t, f"(?i)-{month[:3]}(?:{month[3:]})?-", f"-{number}-")
-    return F.regexp_extract(t, r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
+    return F.coalesce(
+        _rewritten_date(text, _NUMERIC_STYLES), _rewritten_date(text, _NAMED_STYLES)
+    )
 
 
 def parse_date_state(text: Column) -> Column:
     """Date in one of the three styles used by state dockets, or null."""
     style = r"^(?:\d{1,2}/\d{1,2}/(?:\d{2}|\d{4})|\d{4}-\d{1,2}-\d{1,2})$"
-    return parse_date(F.regexp_extract(strip(text), style, 0))
+    return _rewritten_date(F.regexp_extract(strip(text), style, 0), _NUMERIC_STYLES[:3])
 
 
 def extract_date(text: Column) -> Column:

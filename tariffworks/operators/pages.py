@@ -42,17 +42,23 @@ def result_rows(pages: DataFrame) -> DataFrame:
 
 def case_fields(pages: DataFrame) -> DataFrame:
     """Labelled fields, companies and titles of case pages."""
-    status_text = html.label_value(_page(), "Status")
-    titles = html.titles(_page())
-    return pages.select(
+    # Values used more than once are columns of their own first; Spark does not
+    # merge such a projection with the next, so each page is searched once.
+    searched = pages.select(
+        "page_id", "html",
+        html.label_value(_page(), "Status").alias("status_text"),
+        html.raw_titles(_page()).alias("raw_titles"),
+    ).withColumn("titles", html.titles(F.col("raw_titles")))
+    status_text = F.col("status_text")
+    return searched.select(
         "page_id",
         found(_page(), r"Docket Sheet - ([A-Z]{2}-\d{4}-\d{3,5})").alias("docket_number"),
-        status_text.alias("status_text"),
+        "status_text",
         parse_date_state(found(status_text, r"\((\d{1,2}/\d{1,2}/\d{4})\)")).alias("decision_date"),
         html.label_value(_page(), "Utility Type").alias("utility_type_text"),
         html.label_value(_page(), "Type of Case").alias("case_type_text"),
         html.label_value(_page(), "Style of Case").alias("style"),
-        html.best_title(titles).alias("best_title"),
+        html.best_title(F.col("titles")).alias("best_title"),
         html.earliest_date(_page()).alias("filing_date"),
     )
 
@@ -81,14 +87,28 @@ def _references(pages: DataFrame, pattern: str, kind: int) -> DataFrame:
         "page_id", "html", F.explode(html.matches_with_place(_page(), pattern)).alias("m")
     )
     around = html.surroundings(_page(), F.col("m.start"), F.col("m.size"))
-    return places.select(
+    # Cut out first, decoded next: decoding names its input more than once.
+    cut = places.select("page_id", "m", (squeeze(around) if kind == 0 else around).alias("around"))
+    return cut.select(
         F.col("m.value").alias("docket_number"),
-        html.unescape(squeeze(around) if kind == 0 else around).alias("context"),
+        html.unescape(F.col("around")).alias("context"),
         F.struct("page_id", F.lit(kind).alias("kind"), F.col("m.start").alias("at")).alias("seq"),
         F.lit(kind).alias("kind"),
     )
 
 
+def page_titles(pages: DataFrame, link: str = html.FILING_LINK) -> DataFrame:
+    """Decoded link texts of each page."""
+    searched = pages.select("page_id", html.raw_titles(_page(), link).alias("raw"))
+    return searched.select("page_id", html.titles(F.col("raw")).alias("titles"))
+
+
+def page_companies(pages: DataFrame) -> DataFrame:
+    """Company names on each page."""
+    searched = pages.select("page_id", html.raw_companies(_page()).alias("raw"))
+    return searched.select("page_id", html.companies(F.col("raw")).alias("companies"))
+
+
 def docket_references(pages: DataFrame) -> DataFrame:
     """Best context of each docket referred to on the pages.
 

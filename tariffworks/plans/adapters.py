@@ -44,6 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores where the files hold too few row groups for that.
+
+    Text work takes far longer than reading.  A large input has more splits than
+    there are cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _nth(values: list[str], position: Column) -> Column:
     """Element at a position that counts from 1."""
     return F.element_at(F.array(*[lit(v) for v in values]), position.cast("int"))
@@ -83,7 +93,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(nation, c("c_nationkey") == c("n_nationkey"))
 
 
-def rate_cases(spark: SparkSession, sf_dir: str, score: bool = True) -> DataFrame:
+def rate_cases(spark: SparkSession, sf_dir: str, score: bool = True, every_column: bool = False
+               ) -> DataFrame:
     """One case per order.  ``seq`` is its order of arrival."""
     amounts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").cast("date").alias("last_ship"),
@@ -138,6 +149,7 @@ def rate_cases(spark: SparkSession, sf_dir: str, score: bool = True) -> DataFram
                      c("o_orderkey").cast("string")),
         ).alias("description"),
         c("o_orderkey").alias("seq"),
+        *([c(x) for x in ("o_orderpriority", "o_orderdate", "o_orderstatus")] if every_column else []),
     )
     return cases.withColumn("quality_score", quality_score(quality_components())) if score else cases
 
@@ -185,14 +197,20 @@ def utility_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = supplier_lines(spark, sf_dir)
     cents = _cents(c("l_extendedprice"))
     classes = {name: c("l_returnflag") == flag for flag, name in CLASS_OF.items()}
-    measures = []
-    for name, inside in {**classes, "total": lit(True)}.items():
-        measures += [
-            F.count_distinct(F.when(inside, c("l_orderkey"))).alias(f"{name}_customers"),
+    classes["total"] = lit(True)
+    keys = ["l_suppkey", "year", "s_name", "n_nationkey", "n_name", "n_regionkey"]
+    # Orders first: each is then one row, and customers are counted without a
+    # distinct count per class, which would multiply the rows.
+    per_order = lines.groupBy(*keys, "l_orderkey").agg(*[
+        x for name, inside in classes.items() for x in (
             F.sum(F.when(inside, cents)).alias(f"{name}_cents"),
-            F.sum(F.when(inside, c("l_quantity").cast("bigint"))).alias(f"{name}_mwh"),
-        ]
-    grouped = lines.groupBy("l_suppkey", "year", "s_name", "n_nationkey", "n_name", "n_regionkey").agg(*measures)
+            F.sum(F.when(inside, c("l_quantity").cast("bigint"))).alias(f"{name}_mwh"))
+    ])
+    grouped = per_order.groupBy(*keys).agg(*[
+        x for name in classes for x in (
+            F.count(f"{name}_cents").alias(f"{name}_customers"),
+            F.sum(f"{name}_cents").alias(f"{name}_cents"), F.sum(f"{name}_mwh").alias(f"{name}_mwh"))
+    ])
 
     def price(name: str) -> Column:
         return _whole(c(f"{name}_cents") / c(f"{name}_mwh") / 100) / 100
@@ -320,9 +338,8 @@ def raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as text, written from the cases in five styles."""
     p = priority()
-    cases = rate_cases(spark, sf_dir, score=False)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus")
-    both = cases.join(orders, c("seq") == c("o_orderkey"))
+    cases = rate_cases(spark, sf_dir, score=False, every_column=True)
+    both = spread(cases)
 
     def money(value: str) -> Column:
         k = F.round(F.abs(F.coalesce(c(value), c("requested_revenue_change"), lit(0.0))) * 1000).cast("bigint")
@@ -378,7 +395,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = raw_records(spark, sf_dir).select(
         F.concat(lit("o"), c("seq").cast("string")).alias("id"), c("description").alias("text")
     )
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents")).select(
         F.concat(lit("d"), c("doc_id").cast("string")).alias("id"), "text"
     )
     return described.unionByName(documents)
@@ -391,7 +408,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Web pages have negative ids.
     """
-    orders = table(spark, sf_dir, "orders").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
+    orders = spread(table(spark, sf_dir, "orders")).join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
     key = c("o_orderkey").cast("string")
     day = c("o_orderdate").cast("date")
     us = F.date_format(day, "M/d/yyyy")
@@ -435,5 +452,5 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit(" R-"), F.date_format(day, "yyyy-"), F.lpad(key, 7, "0"), lit("</p></body></html>"),
     )
     written = orders.select(c("o_orderkey").alias("page_id"), html.alias("html"))
-    web = table(spark, sf_dir, "pages").select((-1 - c("page_id")).alias("page_id"), "html")
+    web = spread(table(spark, sf_dir, "pages")).select((-1 - c("page_id")).alias("page_id"), "html")
     return written.unionByName(web)
