@@ -6,7 +6,6 @@ none is set, as in tests.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from tariffworks import fixed_values as V
 from tariffworks.operators.firstwins import first_per_key
 from tariffworks.plans import adapters as A
 from tariffworks.plans import jobs
+from tariffworks.session import shared_folder
 from tariffworks.sources import readers, writers
 from tariffworks.streaming import ingest
 
@@ -24,8 +24,10 @@ c, lit = F.col, F.lit
 
 def scratch(s) -> str:
     """A new folder for one run."""
-    shared = s.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tariffworks-")
-    return f"{shared}/run-{uuid.uuid4().hex}"
+    folder = shared_folder(s)
+    if folder is None:
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
+    return f"{folder}/run-{uuid.uuid4().hex}"
 
 
 RAW_SHOWN = ["docket_number", "utility_name", "state", "source", "status", "filing_date", "description"]

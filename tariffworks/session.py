@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time work: it coalesces small shuffle
@@ -23,15 +25,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """Folder all executors can reach, as the cluster names it.
+
+    A temporary folder of this machine stands in for it only in local mode,
+    where this machine is the cluster.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if folder:
+        return folder
+    if spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="tariffworks-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
+    return None
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder named in ``spark.checkpoint.dir``.
+    """Store a result that several later steps read, and go on from what is stored.
 
     Survives the loss of executors because the data leaves their local disks.
-    Without a configured folder the plan is returned as it is.
+    Without a shared folder the plan is returned as it is.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        if not folder:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = shared_folder(df.sparkSession)
+        if folder is None:
             return df
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -33,7 +33,8 @@ def read_raw_json(spark: SparkSession, path: str, source: str | None = None
         .withColumn("place", F.monotonically_increasing_id())
     )
     good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("file", CORRUPT)
+    # Spark does not read the corrupt column alone, so a parsed one goes with it.
+    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("file", "docket_number", CORRUPT)
     ordered = good.withColumn("seq", F.struct("file", "place")).drop("file", "place")
     if source:
         ordered = ordered.withColumn("source", F.lit(source))
