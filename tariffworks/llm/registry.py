@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tariffworks.llm import mixing, packing, toxicity
+import corpus_pipeline
+from tariffworks.llm import chosen_path, mixing, packing, surrogates, toxicity
 from tariffworks.llm.common import table
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"))
+
+
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -23,6 +34,8 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
+QUERIES = {f.__name__: f for f in (op5_surrogates, op6_chosen_path, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
+
+QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL: dict[str, str] = {}
