@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tariffworks.llm import chosen_path, mixing, packing, surrogates, toxicity
+from tariffworks.llm import chosen_path, mixing, packing, secrets, surrogates, toxicity, winnow
 from tariffworks.llm.common import table
 
 
+def op4_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced."""
     return surrogates.replace_entities(table(spark, sf_dir, "documents"))
@@ -19,6 +24,11 @@ def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return winnow.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -34,7 +44,7 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_surrogates, op6_chosen_path, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
+QUERIES = {f.__name__: f for f in (op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
