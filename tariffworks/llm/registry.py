@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tariffworks.llm import chosen_path, mixing, packing, secrets, surrogates, toxicity, winnow
+from tariffworks.llm import chosen_path, mixing, packing, pq, secrets, surrogates, toxicity, winnow
 from tariffworks.llm.common import table
 
 
+def op1_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return pq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -44,7 +49,7 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
+QUERIES = {f.__name__: f for f in (op1_product_quantisation, op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
