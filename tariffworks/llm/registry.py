@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tariffworks.llm import chosen_path, mixing, packing, pq, secrets, surrogates, toxicity, winnow
+from tariffworks.llm import bwt, chat, chosen_path, mixing, packing, pq, secrets, surrogates, toxicity, winnow
 from tariffworks.llm.common import table
 
 
@@ -14,6 +14,16 @@ def op1_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_collection_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages removed from all documents."""
+    return bwt.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations from the perspective of each participant."""
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op4_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -49,8 +59,8 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_product_quantisation, op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
+QUERIES = {f.__name__: f for f in (op1_product_quantisation, op2_collection_bwt, op3_perspectives, op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_perspectives": chat.ROTATE_SQL}
