@@ -400,9 +400,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """Rows of docs, all columns, that are the first of their component; one row for repeated ones."""
-    kept = near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    named = docs.where("doc_id is not null").withColumn("kept_row", F.row_number().over(first)).where("kept_row = 1")
-    same = named.join(kept, F.col("doc_id") == F.col("kept_id")).select(docs.columns)
+    """Rows of docs, all columns, that are the first of their component.
+
+    Of rows equal in doc_id one stays.  Rows with a null doc_id all stay.
+    """
+    kept = near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("doc"))
+    first = Window.partitionBy("doc_id").orderBy("doc")
+    same = rows.join(kept, "doc_id").withColumn("nth", F.row_number().over(first)).where("nth = 1").select("doc.*")
     return same.unionByName(docs.where("doc_id is null"))

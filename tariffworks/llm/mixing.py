@@ -155,6 +155,6 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("mix_copies"))
         .where("mix_copies > 0")
     )
-    sized = docs.withColumn("mix_words", n_words(F.col("text")))
-    joined = sized.join(copies, F.col("doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_words") == F.col("mix_size")))
-    return joined.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(docs.columns)
+    rows = docs.select(F.col("doc_id").alias("row_id"), n_words(F.col("text")).alias("words"), F.struct(*docs.columns).alias("doc"))
+    joined = rows.join(copies, F.col("row_id").eqNullSafe(F.col("mix_id")) & (F.col("words") == F.col("mix_size")))
+    return joined.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select("doc.*")
