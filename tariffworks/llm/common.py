@@ -91,6 +91,12 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_numbers(sums: np.ndarray, start: int, n: int, width: int) -> np.ndarray:
+    """A number for each of n grams from a place on, equal for equal grams, its high bits well spread."""
+    _, inverse = _power_tables(len(sums))
+    return (sums[start + width : start + width + n] - sums[start : start + n]) * inverse[start : start + n]
+
+
 def byte_sums(buffer: np.ndarray) -> np.ndarray:
     return sum_hashes(_bytes_table()[buffer])
 

@@ -65,7 +65,7 @@ def test_repeats_of_a_split_anchor(spark):
     common = "".join(rng.choice("0123456789") for _ in range(34))
     many = [(1000 + i, "".join(rng.choice("abcdefgh") for _ in range(25)) + common + "".join(rng.choice("stuvwxyz") for _ in range(25)))
             for i in range(bwt.SPLIT + 100)]
-    many += [(9000 + i, many[i * 7][1][rng.randrange(8) : 70 + rng.randrange(8)]) for i in range(200)]
+    many += [(9000 + i, many[i * 5][1][rng.randrange(8) : 70 + rng.randrange(8)]) for i in range(200)]
     rows = [(d, t, None, None, None, None, None, None, None) for d, t in many]
     assert taken(bwt.remove_repeats(frame(spark, rows))) == lost_by_force(rows)
 
