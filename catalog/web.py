@@ -32,7 +32,7 @@ def _known(s, d):
     return A.rate_cases(s, d, score=False).select(
         c("seq").alias("page_id"), F.when(c("status") != "decided", c("utility_name")).alias("utility_name"),
         F.nullif("utility_type", F.lit("gas")).alias("utility_type"), c("decision_date").alias("filing_date"),
-        "status", F.substring("description", 1, 20).alias("description"))
+        "status", F.concat(c("status"), F.lit(" case")).alias("description"))
 
 
 def _title_context(s, d):

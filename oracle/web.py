@@ -134,7 +134,7 @@ SQL = {
         coalesce(n.filing_date, k.filing_date) AS filing_date, coalesce(nullif(n.status, ''), k.status) AS status,
         CASE WHEN length(n.description) > length(coalesce(k.description, '')) THEN n.description ELSE k.description END AS description
         FROM (SELECT seq AS page_id, CASE WHEN status <> 'decided' THEN utility_name END AS utility_name, nullif(utility_type, 'gas') AS utility_type, decision_date AS filing_date,
-                     status, substr(description, 1, 20) AS description FROM rate_cases_plain) k LEFT JOIN labelled n USING (page_id)"""),
+                     status, status || ' case' AS description FROM rate_cases_plain) k LEFT JOIN labelled n USING (page_id)"""),
     "html_docket_scan": q(" UNION ALL ".join(
         f"SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '{p}'))) AS docket_number FROM all_pages" for p in [r"R-\d{4}-\d{7}", r"A\.\d{2}-\d{2}-\d{3}"])),
     "page_gate": q(f"""SELECT page_id, CAST(coalesce(NOT contains(html[1:1000], 'Submission not found') AND

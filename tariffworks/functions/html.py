@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import html as _html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tariffworks import fixed_values as V
 from tariffworks.functions.columns import found, squeeze, strip
 
-# Entities decoded inside the JVM; "&amp;" is last so that its result is not
+# Entities decoded by plain replacement; "&amp;" is last so that its result is not
 # decoded a second time.
 COMMON_ENTITIES = [
     ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
@@ -21,11 +21,55 @@ COMMON_ENTITIES = [
 _OTHER_ENTITY = (
     "&(?!" + "|".join(e[1:] for e, _ in COMMON_ENTITIES) + ")[#a-zA-Z]"
 )
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# The standard table of names; those that count without a semicolon, the longest first.
+_NAMES = json.dumps(html5)
+_OPEN_NAMES = "^&(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: -len(n))) + ")"
+# Numbers that do not stand for their own character.
+_ODD_NUMBERS = json.dumps({str(n): _html.unescape(f"&#{n};") for n in range(160) if _html.unescape(f"&#{n};") != chr(n)})
+
+
+def _table(text: str) -> Column:
+    """A map as one constant."""
+    return F.from_json(F.lit(text), "map<string,string>")
+
+
+def _number(reference: Column) -> Column:
+    """Character of a numeric reference."""
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    hexadecimal = reference.rlike("^&#[xX]")
+    short = F.length(digits) <= 8
+    value = F.coalesce(F.when(short & hexadecimal, F.conv(digits, 16, 10).try_cast("bigint"))
+                       .when(short, digits.try_cast("bigint")), F.when(digits == "", F.lit(0)).otherwise(F.lit(0x110000)))
+
+    def character(n: Column) -> Column:
+        nothing = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return (
+            F.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(nothing, F.lit("")).otherwise(F.coalesce(F.try_element_at(_table(_ODD_NUMBERS), n.cast("string")), own))
+        )
+
+    return F.transform(F.array(value), character)[0]
+
+
+def _name(reference: Column) -> Column:
+    """Characters of a named reference: the whole name, else its longest beginning that is one."""
+    def begun(start: Column) -> Column:
+        return F.when(start == "", reference).otherwise(
+            F.concat(F.try_element_at(_table(_NAMES), start), F.substr(reference, F.length(start) + 2)))
+
+    rest = F.transform(F.array(F.regexp_extract(reference, _OPEN_NAMES, 1)), begun)[0]
+    return F.coalesce(F.try_element_at(_table(_NAMES), F.substr(reference, F.lit(2))), rest)
 
 
-@F.pandas_udf(StringType())
-def _unescape_all(text: pd.Series) -> pd.Series:
-    return text.map(_html.unescape, na_action="ignore")
+def _unescape_all(text: Column) -> Column:
+    decoded = F.transform(
+        F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)),
+        lambda r: F.when(r.startswith("&#"), _number(r)).otherwise(_name(r)))
+    pieces = F.zip_with(F.split(text, _REFERENCE, -1), decoded,
+                        lambda piece, char: F.concat(piece, F.coalesce(char, F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def unescape_common(text: Column) -> Column:
@@ -35,13 +79,12 @@ def unescape_common(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Text with all character references decoded.
+    """Text with all character references decoded, by the rules of the standard library.
 
-    Common ones are decoded in the JVM.  Only texts holding any other reference
-    travel to Python, where the standard table of over two thousand names is.
+    Texts with common ones only take plain replacements.
     """
     other = F.coalesce(text.rlike(_OTHER_ENTITY), F.lit(False))
-    return F.when(other, _unescape_all(F.when(other, text))).otherwise(unescape_common(text))
+    return F.when(other, _unescape_all(text)).otherwise(unescape_common(text))
 
 
 def unescape_each(texts: Column) -> Column:

@@ -27,6 +27,11 @@ OVERWRITE = "overwrite"
 KEEP_OLD = "keep_old"
 
 
+def _same_key(keys: list[str]) -> Column:
+    """Equal keys of a table and of one whose key columns start with two underscores; nulls are equal."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+
+
 def _usable(column: Column, policy: str) -> Column:
     if policy == KEEP_OLD_ON_UNKNOWN:
         return F.nullif(column, F.lit("unknown"))
@@ -75,9 +80,7 @@ def merge(old: DataFrame, batch: DataFrame, keys: list[str], seq: str,
                      F.struct(*[c for c in new.columns if c not in keys]).alias("__new"))
     fields = [c for c in batch.columns if c not in keys and c != seq]
 
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    )
+    same_key = _same_key(keys)
 
     def combined(name: str) -> Column:
         if name in keys or name not in fields:
@@ -125,18 +128,14 @@ def merge_counts(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame
 
 def _anti(left: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     stored = old.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    )
-    return left.join(stored, same_key, "left_anti")
+    return left.join(stored, _same_key(keys), "left_anti")
 
 
 def merge_existence(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The batch with a flag telling whether its key is stored already."""
-    stored = old.select(*keys).distinct().withColumn("is_stored", F.lit(True))
-    return batch.join(stored, keys, "left").withColumn(
-        "is_stored", F.coalesce("is_stored", F.lit(False))
-    )
+    """The batch with a flag telling whether its key is stored already; null keys are keys."""
+    stored = old.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct().withColumn("is_stored", F.lit(True))
+    return batch.join(stored, _same_key(keys), "left").select(
+        *batch.columns, F.coalesce("is_stored", F.lit(False)).alias("is_stored"))
 
 
 # --- the tables ------------------------------------------------------------------
@@ -208,21 +207,43 @@ def append_documents(old: DataFrame, batch: DataFrame) -> DataFrame:
     return old.unionByName(typed, allowMissingColumns=True)
 
 
-def update_names(cases: DataFrame, mapping: DataFrame) -> DataFrame:
+def _set(cases: DataFrame, new: DataFrame, keys: list[str], value: str, column: str, order: str | None,
+         updated_at: Column | None) -> DataFrame:
+    """Cases with a column set by key.
+
+    Of several rows of a key the last one by ``order`` counts (without one, the greatest value),
+    so that no case is multiplied.  Null values set nothing.  ``updated_at`` is set where a value is.
+    """
+    by = F.col(order) if order else F.col(value)
+    last = new.filter(F.col(value).isNotNull()).groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        F.max_by(F.col(value), by).alias("__value"))
+    joined = cases.join(last, _same_key(keys), "left").withColumn(column, F.coalesce("__value", column))
+    if updated_at is not None and "updated_at" in cases.columns:
+        joined = joined.withColumn("updated_at", F.when(F.col("__value").isNotNull(), updated_at).otherwise(F.col("updated_at")))
+    return joined.select(*cases.columns)
+
+
+def update_names(cases: DataFrame, mapping: DataFrame, order: str | None = None, updated_at: Column | None = None) -> DataFrame:
     """Set the canonical name by raw name (columns ``utility_name``, ``canonical_name``)."""
-    new = mapping.select("utility_name", F.col("canonical_name").alias("__canonical"))
-    return cases.join(new, "utility_name", "left").withColumn(
-        "canonical_utility_name", F.coalesce("__canonical", "canonical_utility_name")
-    ).select(*cases.columns)
+    return _set(cases, mapping, ["utility_name"], "canonical_name", "canonical_utility_name", order, updated_at)
+
 
+def _score_keys(scores: DataFrame) -> list[str]:
+    return [k for k in CASE_KEYS if k in scores.columns]
 
-def update_scores(cases: DataFrame, scores: DataFrame) -> DataFrame:
+
+def update_scores(cases: DataFrame, scores: DataFrame, order: str | None = None, updated_at: Column | None = None) -> DataFrame:
     """Set scores by (docket, source), or by docket if the scores have no source."""
-    keys = [k for k in CASE_KEYS if k in scores.columns]
-    new = scores.select(*keys, F.col("quality_score").alias("__score"))
-    return cases.join(new, keys, "left").withColumn(
-        "quality_score", F.coalesce("__score", "quality_score")
-    ).select(*cases.columns)
+    return _set(cases, scores, _score_keys(scores), "quality_score", "quality_score", order, updated_at)
+
+
+def update_counts(cases: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row (given, touched): scores given, and cases that have one of them."""
+    keys = _score_keys(scores)
+    given = scores.filter(F.col("quality_score").isNotNull())
+    known = given.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    touched = cases.join(known, _same_key(keys), "left_semi").agg(F.count("*").alias("touched"))
+    return given.agg(F.count("*").alias("given")).select("given", touched.scalar().alias("touched"))
 
 
 def audit_start(run_id: Column, source: Column, stage: str, started_at: Column) -> list[Column]:

@@ -40,18 +40,29 @@ DOCKET_PREFIX_OF = {"BUILDING": "UE-", "FURNITURE": "UG ", "HOUSEHOLD": "UW-",
                     "MACHINERY": "ER-", "AUTOMOBILE": "GR-"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+# Types of the driver's tables, so that planning a query reads no file.
+TABLE_TYPES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores where the files hold too few row groups for that.
 
-    Text work takes far longer than reading.  A large input has more splits than
-    there are cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in TABLE_TYPES:
+        reader = reader.schema(TABLE_TYPES[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _nth(values: list[str], position: Column) -> Column:
@@ -339,7 +350,6 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as text, written from the cases in five styles."""
     p = priority()
     cases = rate_cases(spark, sf_dir, score=False, every_column=True)
-    both = spread(cases)
 
     def money(value: str) -> Column:
         k = F.round(F.abs(F.coalesce(c(value), c("requested_revenue_change"), lit(0.0))) * 1000).cast("bigint")
@@ -369,7 +379,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.regexp_extract("description", "<b>(.*?)</b>", 1)
     prefix = F.coalesce(_case(segment, DOCKET_PREFIX_OF), lit("WR-"))
     blank = (p == 5) & (c("o_orderstatus") == "P")
-    return both.select(
+    return cases.select(
         F.when(blank, lit("  ")).otherwise(F.concat(lit(" "), prefix, c("docket_number"))).alias("docket_number"),
         "utility_name", F.concat(lit(" "), F.lower("state")).alias("state"), "source",
         F.when(p == 1, "unknown").when(p == 2, "bogus").when(p == 4, "rate_design").when(p == 5, "").alias("case_type"),
@@ -395,7 +405,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = raw_records(spark, sf_dir).select(
         F.concat(lit("o"), c("seq").cast("string")).alias("id"), c("description").alias("text")
     )
-    documents = spread(table(spark, sf_dir, "documents")).select(
+    documents = table(spark, sf_dir, "documents").select(
         F.concat(lit("d"), c("doc_id").cast("string")).alias("id"), "text"
     )
     return described.unionByName(documents)
@@ -408,7 +418,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Web pages have negative ids.
     """
-    orders = spread(table(spark, sf_dir, "orders")).join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
+    orders = table(spark, sf_dir, "orders").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
     key = c("o_orderkey").cast("string")
     day = c("o_orderdate").cast("date")
     us = F.date_format(day, "M/d/yyyy")
@@ -452,5 +462,5 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit(" R-"), F.date_format(day, "yyyy-"), F.lpad(key, 7, "0"), lit("</p></body></html>"),
     )
     written = orders.select(c("o_orderkey").alias("page_id"), html.alias("html"))
-    web = spread(table(spark, sf_dir, "pages")).select((-1 - c("page_id")).alias("page_id"), "html")
+    web = table(spark, sf_dir, "pages").select((-1 - c("page_id")).alias("page_id"), "html")
     return written.unionByName(web)

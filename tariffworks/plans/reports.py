@@ -277,19 +277,17 @@ def duration_by_state(cases: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in equal-width bins between the least and the greatest value.
 
-    Values are counted first, which leaves a table that is usually small; the
-    limits are one scalar subquery on it.  Bins count from 1; empty ones are
-    left out.
+    The limits are a plain aggregate, one scalar subquery; rows are then binned and counted.  Both
+    are reduced to a row or a bin a task before anything is shuffled.  Bins count from 1; empty
+    ones are left out.
     """
-    values = df.filter(c(value).isNotNull()).groupBy(c(value).cast("double").alias("v")).agg(
-        F.count("*").alias("n")
-    )
+    values = df.filter(c(value).isNotNull()).select(c(value).cast("double").alias("v"))
     limits = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     spanned = values.withColumn("span", limits)
     low, width = c("span.low"), (c("span.high") - c("span.low")) / bins
     inside = F.floor(F.try_divide(c("v") - low, width)).cast("int") + 1
     bin_no = F.when(width > 0, F.least(inside, F.lit(bins))).otherwise(F.lit(1))
-    return spanned.groupBy(bin_no.alias("bin")).agg(F.sum("n").alias("cnt"))
+    return spanned.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("cnt"))
 
 
 # --- top lists ------------------------------------------------------------------------------

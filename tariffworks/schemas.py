@@ -6,88 +6,95 @@ Money is in millions of USD unless a column name says otherwise; revenue in
 
 from pyspark.sql import types as T
 
-from tariffworks.fixed_values import CUSTOMER_CLASSES, FUELS
 
 _TYPES = {
-    "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(),
-    "date": T.DateType(), "ts": T.TimestampType(),
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
 }
 
 
-def _schema(**columns: str) -> T.StructType:
-    return T.StructType([T.StructField(name, _TYPES[code]) for name, code in columns.items()])
-
-
-RAW_RECORD = _schema(
-    docket_number="s", utility_name="s", state="s", source="s", case_type="s", utility_type="s",
-    status="s", filing_date="s", decision_date="s", effective_date="s",
-    requested_revenue_change="s", approved_revenue_change="s", rate_base="s",
-    return_on_equity="s", requested_rate_change_pct="s", approved_rate_change_pct="s",
-    source_url="s", description="s", scraped_at="s",
-)
-
-RATE_CASES = _schema(
-    docket_number="s", utility_name="s", canonical_utility_name="s", state="s", source="s",
-    case_type="s", utility_type="s", status="s", filing_date="date", decision_date="date",
-    effective_date="date", requested_revenue_change="d", approved_revenue_change="d",
-    rate_base="d", return_on_equity="d", requested_rate_change_pct="d",
-    approved_rate_change_pct="d", source_url="s", description="s", quality_score="d",
-    scraped_at="ts", created_at="ts", updated_at="ts",
-)
-
-UTILITIES = _schema(
-    name="s", canonical_name="s", state="s", utility_type="s", ownership_type="s",
-    parent_company="s", customer_count="l", eia_utility_id="l", ferc_respondent_id="l",
-    created_at="ts", updated_at="ts",
-)
-
-CASE_DOCUMENTS = _schema(
-    docket_number="s", document_type="s", title="s", filed_by="s", filing_date="date", url="s",
-    source="s", state="s", created_at="ts",
-)
-
-PIPELINE_RUNS = _schema(
-    run_id="s", source="s", stage="s", status="s", records_processed="l", records_created="l",
-    records_updated="l", errors="l", started_at="ts", completed_at="ts", notes="s",
-)
-
-UTILITY_OPERATIONS = _schema(
-    eia_utility_id="l", year="i", utility_name="s", state="s", ownership_type="s",
-    **{f"{c}_customers": "l" for c in CUSTOMER_CLASSES},
-    **{f"{c}_revenue": "d" for c in CUSTOMER_CLASSES},
-    **{f"{c}_sales_mwh": "d" for c in CUSTOMER_CLASSES},
-    **{f"{c}_avg_price": "d" for c in CUSTOMER_CLASSES[:3]},
-    avg_price="d", revenue_per_customer="d", quality_score="d", created_at="ts",
-)
-
-UTILITY_EIA_LINKS = _schema(
-    utility_name="s", state="s", eia_utility_id="l", match_confidence="d", match_method="s",
-    created_at="ts",
-)
-
-UTILITY_EMISSIONS = _schema(
-    utility_name_egrid="s", state="s", year="i", eia_utility_id="l", net_generation_mwh="d",
-    co2_tons="d", nox_tons="d", so2_tons="d", co2_rate_lbs_mwh="d", nox_rate_lbs_mwh="d",
-    so2_rate_lbs_mwh="d", coal_pct="d", gas_pct="d", nuclear_pct="d", hydro_pct="d",
-    wind_pct="d", solar_pct="d", other_renewable_pct="d", quality_score="d", created_at="ts",
-)
-
-UTILITY_CAPACITY = _schema(
-    eia_utility_id="l", year="i", **{f"{f}_capacity_mw": "d" for f in FUELS},
-    total_capacity_mw="d", num_plants="l", num_generators="l", avg_generator_age="d",
-    planned_additions_mw="d", planned_retirements_mw="d", quality_score="d", created_at="ts",
-)
-
-RATE_CASE_IMPACTS = _schema(
-    docket_number="s", source="s", eia_utility_id="l", total_customers="l",
-    monthly_bill_impact="d", annual_bill_impact="d", pct_of_avg_bill="d",
-    residential_price_before="d", residential_price_after="d", created_at="ts",
-)
-
-GENERATOR_ROWS = _schema(
-    utility_id="l", plant_code="l", technology="s", nameplate_mw="d", operating_year="i",
-    status="s", planned_retirement_year="i",
-)
+def _schema(columns: str) -> T.StructType:
+    """Names and types as in DDL; needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+RAW_RECORD = _schema("""
+    docket_number string, utility_name string, state string, source string, case_type string,
+    utility_type string, status string, filing_date string, decision_date string, effective_date string,
+    requested_revenue_change string, approved_revenue_change string, rate_base string,
+    return_on_equity string, requested_rate_change_pct string, approved_rate_change_pct string,
+    source_url string, description string, scraped_at string
+""")
+
+RATE_CASES = _schema("""
+    docket_number string, utility_name string, canonical_utility_name string, state string,
+    source string, case_type string, utility_type string, status string, filing_date date,
+    decision_date date, effective_date date, requested_revenue_change double,
+    approved_revenue_change double, rate_base double, return_on_equity double,
+    requested_rate_change_pct double, approved_rate_change_pct double, source_url string,
+    description string, quality_score double, scraped_at timestamp, created_at timestamp,
+    updated_at timestamp
+""")
+
+UTILITIES = _schema("""
+    name string, canonical_name string, state string, utility_type string, ownership_type string,
+    parent_company string, customer_count bigint, eia_utility_id bigint, ferc_respondent_id bigint,
+    created_at timestamp, updated_at timestamp
+""")
+
+CASE_DOCUMENTS = _schema("""
+    docket_number string, document_type string, title string, filed_by string, filing_date date,
+    url string, source string, state string, created_at timestamp
+""")
+
+PIPELINE_RUNS = _schema("""
+    run_id string, source string, stage string, status string, records_processed bigint,
+    records_created bigint, records_updated bigint, errors bigint, started_at timestamp,
+    completed_at timestamp, notes string
+""")
+
+UTILITY_OPERATIONS = _schema("""
+    eia_utility_id bigint, year int, utility_name string, state string, ownership_type string,
+    residential_customers bigint, commercial_customers bigint, industrial_customers bigint,
+    total_customers bigint, residential_revenue double, commercial_revenue double,
+    industrial_revenue double, total_revenue double, residential_sales_mwh double,
+    commercial_sales_mwh double, industrial_sales_mwh double, total_sales_mwh double,
+    residential_avg_price double, commercial_avg_price double, industrial_avg_price double,
+    avg_price double, revenue_per_customer double, quality_score double, created_at timestamp
+""")
+
+UTILITY_EIA_LINKS = _schema("""
+    utility_name string, state string, eia_utility_id bigint, match_confidence double,
+    match_method string, created_at timestamp
+""")
+
+UTILITY_EMISSIONS = _schema("""
+    utility_name_egrid string, state string, year int, eia_utility_id bigint, net_generation_mwh double,
+    co2_tons double, nox_tons double, so2_tons double, co2_rate_lbs_mwh double, nox_rate_lbs_mwh double,
+    so2_rate_lbs_mwh double, coal_pct double, gas_pct double, nuclear_pct double, hydro_pct double,
+    wind_pct double, solar_pct double, other_renewable_pct double, quality_score double,
+    created_at timestamp
+""")
+
+UTILITY_CAPACITY = _schema("""
+    eia_utility_id bigint, year int, coal_capacity_mw double, gas_capacity_mw double,
+    nuclear_capacity_mw double, hydro_capacity_mw double, wind_capacity_mw double,
+    solar_capacity_mw double, other_capacity_mw double, total_capacity_mw double, num_plants bigint,
+    num_generators bigint, avg_generator_age double, planned_additions_mw double,
+    planned_retirements_mw double, quality_score double, created_at timestamp
+""")
+
+RATE_CASE_IMPACTS = _schema("""
+    docket_number string, source string, eia_utility_id bigint, total_customers bigint,
+    monthly_bill_impact double, annual_bill_impact double, pct_of_avg_bill double,
+    residential_price_before double, residential_price_after double, created_at timestamp
+""")
+
+GENERATOR_ROWS = _schema("""
+    utility_id bigint, plant_code bigint, technology string, nameplate_mw double, operating_year int,
+    status string, planned_retirement_year int
+""")
 
 # table -> (schema, key columns)
 TABLES = {

@@ -44,13 +44,14 @@ def shared_folder(spark: SparkSession) -> str | None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a result that several later steps read, and go on from what is stored.
 
-    Survives the loss of executors because the data leaves their local disks.
-    Without a shared folder the plan is returned as it is.
+    Survives the loss of executors because the data leaves their local disks.  Fails where no
+    shared folder is configured: recomputing the chain at each of its steps is no substitute.
+    Checkpoints go with the session if spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = shared_folder(df.sparkSession)
         if folder is None:
-            return df
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(folder)
     return df.checkpoint()

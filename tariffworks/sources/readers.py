@@ -77,25 +77,13 @@ def merge_header_rows(parents: list[str], children: list[str]) -> list[str]:
     return names
 
 
-def operations_headers() -> dict[str, list[str]]:
-    """Spellings by which each column of an operations file is known."""
-    grid = {}
-    for measure, patterns in V.OPERATIONS_MEASURE_HEADERS.items():
-        for cls in V.CUSTOMER_CLASSES:
-            name = "avg_price" if (cls, measure) == ("total", "avg_price") else f"{cls}_{measure}"
-            grid[name] = [
-                p.format(cls.upper() if p.startswith("{}.") else cls.title()) for p in patterns
-            ]
-    return {**V.OPERATIONS_ID_HEADERS, **grid}
-
-
 def _or_null(df: DataFrame, header: str | None, convert) -> Column:
     return convert(F.col(f"`{header}`")) if header else convert(F.lit(None).cast("string"))
 
 
 def operations_rows(sheet: DataFrame, year: int | Column) -> DataFrame:
     """Text columns of an operations file to typed ones, plus two derived ones."""
-    found = {n: find_column(sheet.columns, s) for n, s in operations_headers().items()}
+    found = {n: find_column(sheet.columns, s) for n, s in V.OPERATIONS_HEADERS.items()}
     if found["eia_utility_id"] is None:
         raise ValueError("no utility number column in the operations file")
     texts = {"utility_name", "state", "ownership_type"}

@@ -98,3 +98,32 @@ def test_stream_gives_the_result_of_one_batch(spark, tmp_path):
     assert streamed == [("1", "unknown", datetime.date(2024, 1, 2), None), ("2", "decided", None, 5.0)]
     ingest.compact(spark, table, str(tmp_path / "compacted"), 1)
     assert show(ingest.read_current(spark, str(tmp_path / "compacted"))) == streamed
+
+
+def test_scores_multiply_no_case_and_the_last_one_counts(spark):
+    stored = spark.createDataFrame(
+        [("1", "or", 0.1, None), ("1", "wa", 0.2, None), (None, "or", 0.3, None), ("2", "or", 0.4, None)],
+        "docket_number string, source string, quality_score double, updated_at timestamp")
+    scores = spark.createDataFrame(
+        [("1", 0.5, 2), ("1", 0.9, 1), (None, 0.7, 3), ("1", None, 4), ("9", 1.0, 5)], "docket_number string, quality_score double, seq int")
+    now = F.lit(datetime.datetime(2024, 1, 2)).cast("timestamp")
+    got = sorted(map(tuple, merge.update_scores(stored, scores, "seq", now).collect()), key=str)
+    day = datetime.datetime(2024, 1, 2)
+    assert got == sorted([("1", "or", 0.5, day), ("1", "wa", 0.5, day), (None, "or", 0.7, day), ("2", "or", 0.4, None)], key=str)
+    assert tuple(merge.update_counts(stored, scores).first()) == (4, 3)
+    exact = spark.createDataFrame([("1", "wa", 0.6), ("1", "wa", 0.5)], "docket_number string, source string, quality_score double")
+    assert sorted(r.quality_score for r in merge.update_scores(stored, exact).collect()) == [0.1, 0.3, 0.4, 0.6]
+
+
+def test_names_multiply_no_case(spark):
+    stored = spark.createDataFrame([("A", None), ("B", "b")], "utility_name string, canonical_utility_name string")
+    mapping = spark.createDataFrame([("A", "a1", 1), ("A", "a2", 2), ("B", None, 3)], "utility_name string, canonical_name string, seq int")
+    got = sorted(map(tuple, merge.update_names(stored, mapping, "seq").collect()))
+    assert got == [("A", "a2"), ("B", "b")]
+
+
+def test_null_keys_are_stored_keys(spark):
+    old = cases(spark, (None, "or", "A", "OR", None, None, 0)).drop("seq")
+    batch = cases(spark, (None, "or", "A", "OR", None, None, 1), ("3", "or", "A", "OR", None, None, 2))
+    got = {r.docket_number: r.is_stored for r in merge.merge_existence(old, batch, merge.CASE_KEYS).collect()}
+    assert got == {None: True, "3": False}

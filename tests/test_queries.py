@@ -33,4 +33,5 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {name for c in entry._CATALOGS if c is not entry.llm for name in c.QUERIES}
+    assert own <= set(entry.oracle_sql()) <= set(entry.queries())
