@@ -5,7 +5,7 @@ with a known share (class prior) of toxic.  A linear classifier is trained on
     prior * positive loss on positives + max(0, negative loss on unlabelled - prior * negative loss on positives)
 which corrects the unlabelled part for the toxic texts in it and never lets it go below zero.
 
-Features are the words of a text, letters in lower case, and their beginnings of 4 to 6 bytes, as
+Features are the words of a text, letters in lower case, and their beginnings of 4 to 9 bytes, as
 hashes.  A feature counts once a text however long that is.  The weights are a bounded table of
 the features that enough positives hold, found in the positives alone.
 """
@@ -26,8 +26,8 @@ POSITIVES, UNLABELLED = 4000, 12000
 #: Features a model has at most, and the positives that must hold one at least.
 FEATURES, LEAST_TEXTS, LEAST_SHARE = 20_000, 5, 0.01
 #: A feature must be so many standard errors more frequent in positives than in unlabelled texts.
-LEAST_ERRORS = 4.0
-PREFIXES = (4, 5, 6)
+LEAST_ERRORS = 5.0
+PREFIXES = (4, 5, 6, 7, 8, 9)
 FOLDS = 5
 ROUNDS, RATE, SHRINK = 400, 0.05, 2e-4
 
@@ -154,7 +154,8 @@ def _telling(d: int, positives, unlabelled, prior: float) -> np.ndarray:
     """Whether a feature is clearly more frequent in positives than in unlabelled texts.
 
     A feature that no clean text holds is 1 / prior times as frequent, as unlabelled texts are partly
-    toxic; half way there from none is asked for, and a share of the positives.
+    toxic; three quarters of the way there from equal shares is asked for,
+    and a share of the positives.
     """
     (_, pc, n_p), (_, uc, n_u) = positives, unlabelled
     if not n_p or not n_u:
@@ -162,7 +163,7 @@ def _telling(d: int, positives, unlabelled, prior: float) -> np.ndarray:
     a, b = np.bincount(pc, minlength=d), np.bincount(uc, minlength=d)
     share = (a + b) / (n_p + n_u)
     error = np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u)) + 1e-12
-    lift = (1 + 1 / prior) / 2
+    lift = 0.25 + 0.75 / prior
     clear = ((a / n_p - b / n_u) / error >= LEAST_ERRORS) & (a / n_p >= lift * b / n_u)
     return clear & (a >= max(LEAST_TEXTS, LEAST_SHARE * n_p))
 
