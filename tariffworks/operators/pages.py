@@ -82,19 +82,22 @@ def labelled_fields(pages: DataFrame) -> DataFrame:
     )
 
 
-def _references(pages: DataFrame, pattern: str, kind: int) -> DataFrame:
-    places = pages.select(
-        "page_id", "html", F.explode(html.matches_with_place(_page(), pattern)).alias("m")
-    )
-    around = html.surroundings(_page(), F.col("m.start"), F.col("m.size"))
+def _references(pages: DataFrame) -> DataFrame:
+    """References of both kinds with their surroundings; a page is searched and cut in its own row."""
+    def placed(pattern: str, kind: int):
+        def one(m):
+            around = html.surroundings(_page(), m["start"], m["size"])
+            return F.struct(
+                m["value"].alias("docket_number"), F.lit(kind).alias("kind"), m["start"].alias("at"),
+                (squeeze(around) if kind == 0 else around).alias("around"))
+        return F.transform(html.matches_with_place(_page(), pattern), one)
+
+    found = F.concat(placed(html.BRACKET_REF, 0), placed(html.LINK_REF, 1))
     # Cut out first, decoded next: decoding names its input more than once.
-    cut = places.select("page_id", "m", (squeeze(around) if kind == 0 else around).alias("around"))
+    cut = pages.select("page_id", F.explode(found).alias("m")).select("page_id", "m.*")
     return cut.select(
-        F.col("m.value").alias("docket_number"),
-        html.unescape(F.col("around")).alias("context"),
-        F.struct("page_id", F.lit(kind).alias("kind"), F.col("m.start").alias("at")).alias("seq"),
-        F.lit(kind).alias("kind"),
-    )
+        "docket_number", html.unescape(F.col("around")).alias("context"),
+        F.struct("page_id", "kind", "at").alias("seq"), "kind")
 
 
 def page_titles(pages: DataFrame, link: str = html.FILING_LINK) -> DataFrame:
@@ -116,11 +119,8 @@ def docket_references(pages: DataFrame) -> DataFrame:
     reference in a link counts only if it is the first one of its docket, and a
     later one in brackets has to be longer to replace it.
     """
-    links = _references(pages, html.LINK_REF, 1)
     month = F.split("docket_number", "-")[1].cast("int")
-    every = _references(pages, html.BRACKET_REF, 0).unionByName(
-        links.filter(month.between(1, 12))
-    )
+    every = _references(pages).filter((F.col("kind") == 0) | month.between(1, 12))
     # Lowest seq first: longer text wins, the earlier of equals stays.
     longest = F.max_by(
         F.when(F.col("kind") == 0, F.col("context")),
