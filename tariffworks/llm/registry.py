@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tariffworks.llm import bwt, chat, chosen_path, mixing, packing, pq, secrets, surrogates, toxicity, winnow
+from tariffworks.llm import bwt, chat, chosen_path, mixing, packing, pq, secrets, sql, surrogates, toxicity, winnow
 from tariffworks.llm.common import table
 
 
@@ -63,4 +63,4 @@ QUERIES = {f.__name__: f for f in (op1_product_quantisation, op2_collection_bwt,
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL: dict[str, str] = {"op3_perspectives": chat.ROTATE_SQL}
+SQL = sql.SQL
