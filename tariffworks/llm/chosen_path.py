@@ -4,8 +4,9 @@ A document is the set of its 5-word shingles.  Tasks reduce a set to a sketch of
 Each of several independent trees branches the documents: a node picks coordinates of the sketch,
 and a document goes to the child of its token there.  Documents that fall into a small node are
 compared exhaustively by their sketches; a large node compares all its documents with one pivot,
-lets go those close to it (whatever is similar to them is then fairly similar to the pivot, by the
-triangle inequality of Jaccard distance, and has been tied to it), and branches the rest further.
+is done if that ties all of them, and otherwise lets go those close to it (whatever is similar to
+them is then fairly similar to the pivot, by the triangle inequality of Jaccard distance, and has
+been tied to it) and branches the rest further.
 
 What ties documents together so far are loose similarities, kept as spanning links.  Their
 components are the groups in which links are then confirmed on full sets: a small group meets in
@@ -190,7 +191,7 @@ def loose_links(sketches: DataFrame) -> DataFrame:
         # Trees often agree: one of the nodes with the same documents is enough where all are compared.
         small = sizes.where(F.col("n") <= SMALL).groupBy("n", "pivot", "last", "members").agg(F.min("node").alias("node"))
         compared = nodes.join(small.select("node"), "node").join(brief, "doc_id")
-        found.append(stored(compared.groupBy("node").applyInPandas(_compared, "a long, b long").distinct(), f"small{level}"))
+        found.append(stored(_dealt(compared, "node").groupBy("node").applyInPandas(_compared, "a long, b long").distinct(), f"small{level}"))
         large = sizes.where(F.col("n") > SMALL).select("node", "pivot")
         if large.isEmpty():
             break
@@ -202,13 +203,17 @@ def loose_links(sketches: DataFrame) -> DataFrame:
             .select("node", "doc_id", "pivot", "share"), f"pivots{level}")
         found.append(against.where((F.col("share") >= TIED) & (F.col("doc_id") != F.col("pivot")))
                      .select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct())
-        rest = against.where((F.col("share") < CLOSE) & (F.col("doc_id") != F.col("pivot"))).select("node", "doc_id")
+        # Where the pivot ties all, they are one group; else what may be like an untied one branches further.
+        apart = against.where(F.col("share") < TIED).select("node").distinct()
+        rest = against.join(apart, "node").where((F.col("share") < CLOSE) & (F.col("doc_id") != F.col("pivot"))).select("node", "doc_id")
         level += 1
         if level > LEVELS:
             blocks = _in_blocks(rest.join(brief, "doc_id"), ["node"], _compared, "a long, b long")
             found.append(stored(blocks.distinct(), "blocks"))
             break
         nodes = stored(_branched(rest.join(tokens, "doc_id")), f"nodes{level}")
+        if nodes.isEmpty():
+            break
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -230,6 +235,11 @@ def _in_blocks(rows: DataFrame, keys: list[str], compare, schema: str) -> DataFr
     return dealt.groupBy(*keys, "low", "high").applyInPandas(compare, schema)
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a key together, over all shuffle partitions: little data may be much work."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 # Confirmation ------------------------------------------------------------------------------------
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -241,11 +251,32 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.withColumn("shingles", shingles("text")).drop("text")
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
-    if 100 * min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= SIMILAR * (len(x) + len(y) - both)
+class _Sets:
+    """Sets of a group, their hashes numbered, so that one set meets all others at once."""
+
+    def __init__(self, packed: pd.Series):
+        sets = [np.frombuffer(s, np.uint64) for s in packed]
+        self.sizes = np.array([len(s) for s in sets])
+        self.names, self.flat = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)
+        self.cuts = np.concatenate(([0], np.cumsum(self.sizes)))
+
+    def linked(self, numbers: np.ndarray, size: int) -> np.ndarray:
+        """The sets that link with a set of `size` of which these numbers are known."""
+        marked = np.zeros(len(self.names), bool)
+        marked[numbers] = True
+        both = np.bincount(self.owner[marked[self.flat]], minlength=len(self.sizes))
+        return np.flatnonzero(100 * both >= SIMILAR * (self.sizes + size - both))
+
+    def of(self, i: int) -> np.ndarray:
+        return self.flat[self.cuts[i] : self.cuts[i + 1]]
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of those of the hashes that any set holds."""
+        if not len(self.names):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.names, hashes), len(self.names) - 1)
+        return at[self.names[at] == hashes]
 
 
 class _Union:
@@ -264,14 +295,13 @@ class _Union:
 
 
 def _confirmed(group: pd.DataFrame) -> pd.DataFrame:
-    """Spanning links of a group by full sets: pairs that others already join are not compared."""
+    """Spanning links of a group by full sets."""
     group = group.drop_duplicates("doc_id").sort_values("doc_id")
     ids = group["doc_id"].to_numpy()
-    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-    union, out = _Union(len(ids)), []
+    sets, union, out = _Sets(group["shingles"]), _Union(len(ids)), []
     for i in range(len(ids)):
-        for j in range(i + 1, len(ids)):
-            if union.root(i) != union.root(j) and _linked(sets[i], sets[j]):
+        for j in sets.linked(sets.of(i), sets.sizes[i]):
+            if j > i and union.root(i) != union.root(j):
                 union.join(i, j)
                 out.append((ids[j], ids[i]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -287,7 +317,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     sized = groups.join(sizes, "cluster").withColumn("small", small).select("doc_id", "cluster", "small", "brief")
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     sets = stored(_sets(texts.join(sized, "doc_id")), "sets")
-    links = stored(sets.where("small").select("doc_id", "cluster", "shingles").groupBy("cluster")
+    links = stored(_dealt(sets.where("small").select("doc_id", "cluster", "shingles"), "cluster").groupBy("cluster")
                    .applyInPandas(_confirmed, "a long, b long"), "confirmed")
     large = sets.where("not small")
     if large.isEmpty():
@@ -352,23 +382,22 @@ def _open_blocks(rows: DataFrame) -> DataFrame:
     every = dealt.withColumn("share", share).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
     both = opened.unionByName(every).select("cluster", "block", "share", "doc_id", "shingles", F.col("asks").alias("open"))
-    return both.groupBy("cluster", "block", "share").applyInPandas(_asked, "a long, b long")
+    return _dealt(both, "cluster", "block", "share").groupBy("cluster", "block", "share").applyInPandas(_asked, "a long, b long")
 
 
 def _asked(group: pd.DataFrame) -> pd.DataFrame:
     """Links of the asking rows of a group with its other rows."""
     asks = group[group["open"]].drop_duplicates("doc_id")
     others = group[~group["open"]].drop_duplicates("doc_id")
-    sets = [np.frombuffer(s, np.uint64) for s in others["shingles"]]
-    ids, places = others["doc_id"].to_numpy(), {d: i for i, d in enumerate(others["doc_id"])}
-    union, out = _Union(len(ids) + len(asks)), []
-    for k, (doc_id, packed) in enumerate(zip(asks["doc_id"], asks["shingles"], strict=True)):
-        own, me = np.frombuffer(packed, np.uint64), len(ids) + k
-        if doc_id in places:
-            union.join(me, places[doc_id])
-        for i in range(len(ids)):
-            if ids[i] != doc_id and union.root(i) != union.root(me) and _linked(own, sets[i]):
-                union.join(i, me)
+    sets, ids = _Sets(others["shingles"]), others["doc_id"].to_numpy()
+    union, out = _Union(len(ids)), []
+    for doc_id, packed in zip(asks["doc_id"], asks["shingles"], strict=True):
+        own = np.frombuffer(packed, np.uint64)
+        near = [i for i in sets.linked(sets.numbers(own), len(own)) if ids[i] != doc_id]
+        # The others it links with are joined by it; one link to each part of them is enough.
+        for i in near:
+            if i == near[0] or union.root(i) != union.root(near[0]):
+                union.join(i, near[0])
                 out.append((max(doc_id, ids[i]), min(doc_id, ids[i])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
