@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffworks.llm.common import let, stored
+from tariffworks.llm.common import let
 
 #: Words of a gram, and the power of two that a window has.
 GRAM, WINDOW_POWER = 5, 4
@@ -135,11 +135,12 @@ def fingerprints(docs: DataFrame, k: int = GRAM, power: int = WINDOW_POWER) -> D
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half)))
+    own = hashes(F.col("numbers"))
+    edited = let(selected(F.col("edited"), k, power), lambda e: F.struct(
+        fingerprint(e).alias("fingerprint"), likeness(own, hashes(e)).alias("near")))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "numbers", "next_numbers", selected(F.col("edited"), k, power).alias("edited_numbers"))
-    rows = stored(rows, "fingerprints")
+                       "numbers", "next_numbers", edited.alias("edited"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("numbers")).alias("fingerprint"),
-        fingerprint(F.col("edited_numbers")).alias("edited_fingerprint"),
-        likeness(hashes(F.col("numbers")), hashes(F.col("edited_numbers"))).alias("near_edited"),
-        likeness(hashes(F.col("numbers")), hashes(F.col("next_numbers"))).alias("near_next"))
+        F.col("edited.fingerprint").alias("edited_fingerprint"), F.col("edited.near").alias("near_edited"),
+        likeness(own, hashes(F.col("next_numbers"))).alias("near_next"))
