@@ -3,9 +3,9 @@
 A document is the set of its 5-word shingles.  Tasks reduce a set to a sketch of minwise tokens.
 Each of several independent trees branches the documents: a node picks coordinates of the sketch,
 and a document goes to the child of its token there.  Documents that fall into a small node are
-compared exhaustively by their sketches; a large node compares all its documents with one pivot,
-is done if that ties all of them, and otherwise lets go those close to it (whatever is similar to
-them is then fairly similar to the pivot, by the triangle inequality of Jaccard distance, and has
+compared exhaustively by their sketches; a large node compares all its documents with two pivots,
+is done if these tie all of them, and otherwise lets go those close to one (whatever is similar
+to them is then fairly similar to the pivot, by the triangle inequality of Jaccard distance, and has
 been tied to it) and branches the rest further.
 
 What ties documents together so far are loose similarities, kept as spanning links.  Their
@@ -201,11 +201,22 @@ def loose_links(sketches: DataFrame) -> DataFrame:
             nodes.join(pivots, "node").join(tokens, "doc_id")
             .withColumn("share", _equal_tokens("tokens", "pivot_tokens"))
             .select("node", "doc_id", "pivot", "share"), f"pivots{level}")
-        found.append(against.where((F.col("share") >= TIED) & (F.col("doc_id") != F.col("pivot")))
-                     .select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct())
-        # Where the pivot ties all, they are one group; else what may be like an untied one branches further.
-        apart = against.where(F.col("share") < TIED).select("node").distinct()
-        rest = against.join(apart, "node").where((F.col("share") < CLOSE) & (F.col("doc_id") != F.col("pivot"))).select("node", "doc_id")
+        # Copies are closer to what they were made from than to each other: the document closest to
+        # the first pivot is the second one.
+        second = against.where(F.col("doc_id") != F.col("pivot")).groupBy("node").agg(
+            F.max_by("doc_id", F.struct("share", -F.col("doc_id"))).alias("next"))
+        second = second.join(tokens, F.col("next") == F.col("doc_id")).select("node", "next", F.col("tokens").alias("next_tokens"))
+        against = stored(
+            against.join(second, "node").join(tokens, "doc_id")
+            .withColumn("next_share", _equal_tokens("tokens", "next_tokens"))
+            .select("node", "doc_id", "pivot", "share", "next", "next_share"), f"seconds{level}")
+        for pivot, share in (("pivot", "share"), ("next", "next_share")):
+            found.append(against.where((F.col(share) >= TIED) & (F.col("doc_id") != F.col(pivot)))
+                         .select(F.col("doc_id").alias("a"), F.col(pivot).alias("b")).distinct())
+        # Where the pivots tie all, they are one group; else what may be like an untied one branches further.
+        best = F.greatest("share", "next_share")
+        apart = against.where(best < TIED).select("node").distinct()
+        rest = against.join(apart, "node").where(best < CLOSE).select("node", "doc_id")
         level += 1
         if level > LEVELS:
             blocks = _in_blocks(rest.join(brief, "doc_id"), ["node"], _compared, "a long, b long")
