@@ -4,7 +4,8 @@ The mix is a row of slots of equally many words.  Slot n has the point n * golde
 cumulative target weights map the point to a source, so that every stretch of the schedule holds
 the sources near their weights.  The r-th slot of a source takes the r-th block of its documents,
 which are shuffled by a keyed hash and laid end to end, again and again if the target asks for more
-words than there are.
+words than there are.  Blocks of a source for which the points leave no slot have slots of their own
+at the end, so that every source gives its whole target.
 
 A very common source is no hot spot: ranks of slots and places of documents are prefix sums over
 (source, chunk) groups of bounded size.
@@ -63,7 +64,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 
 def schedule(sources: DataFrame, block: int, total: int, n_sources: int) -> DataFrame:
-    """slot, source_no, rank of the slot within its source."""
+    """slot, source_no, rank of the slot within its source; all ranks of the targets are there."""
     spark = sources.sparkSession
     n = int(total / block * (1 + SLACK)) + 1 + SOURCE_SLACK * n_sources
     sums = Window.orderBy("source_no")
@@ -90,9 +91,20 @@ def schedule(sources: DataFrame, block: int, total: int, n_sources: int) -> Data
     before = slots.groupBy("source_no", "chunk").count().withColumn(
         "before", F.sum("count").over(Window.partitionBy("source_no").orderBy("chunk")
                                       .rowsBetween(Window.unboundedPreceding, -1)))
-    return inside.join(before, ["source_no", "chunk"]).select(
+    dealt = inside.join(before, ["source_no", "chunk"]).select(
         "slot", "source_no", (F.coalesce("before", F.lit(0)) + F.col("within") - 1).alias("rank"))
 
+    # Ranks that a source's target asks for and the points do not give.
+    given = slots.groupBy("source_no").agg(F.count("*").alias("given"))
+    short = (
+        sources.select("source_no", F.ceil(F.floor("target") / block).cast("long").alias("asked"))
+        .join(given, "source_no", "left").withColumn("given", F.coalesce("given", F.lit(0)))
+        .where("asked > given")
+        .withColumn("at", F.sum(F.col("asked") - F.col("given")).over(sums.rowsBetween(Window.unboundedPreceding, 0)) - F.col("asked"))
+        .withColumn("rank", F.explode(F.sequence(F.col("given"), F.col("asked") - 1)))
+    )
+    return dealt.unionByName(short.select((F.lit(n) + F.col("at") + F.col("rank")).alias("slot"), "source_no", "rank"))
+
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
     """One row per row of docs (doc_id, text, source): size, source_size, target, taken.

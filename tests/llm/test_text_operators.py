@@ -10,6 +10,7 @@ import zlib
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tariffworks.llm import bwt, chosen_path, mixing, packing, secrets, surrogates, winnow
 from tests.llm.fixtures import SCHEMA, documents, frame, near, words
@@ -298,6 +299,15 @@ def test_mix(docs, rows):
     assert taken(mixing.mix(docs.repartition(7))) == taken(mixing.mix(docs))
 
 
+def test_mix_gives_small_sources_all_their_words(spark):
+    rng = random.Random(3)
+    sizes = {f"large{i}": 200_000 for i in range(20)} | {f"small{i}": rng.randint(5, 800) for i in range(30)}
+    docs = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, n int")
+    docs = docs.select("doc_id", "source", F.expr("repeat('w ', n)").alias("text"))
+    got = {r.source: (int(r.target), r.taken) for r in mixing.mix(docs).collect()}
+    assert {s: a for s, (a, b) in got.items() if a != b} == {}
+
+
 def test_mix_documents(docs):
     out = mixing.mix_documents(docs)
     assert out.columns == docs.columns and set(taken(out)) <= set(taken(docs))
