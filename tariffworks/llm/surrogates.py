@@ -6,6 +6,7 @@ address numbers stay in range, and a name after a title gets a name of that titl
 same value has the same surrogate wherever it stands, also in another notation (case of an e-mail
 address, punctuation of a number), and different values have different ones: values whose
 candidate another value holds, or that occurs in the corpus itself, try again with the next hash.
+After a few tries surrogates get longer than their values, so that no shape runs out of candidates.
 
 Only rows that hold an entity are joined with the surrogates; all other texts pass through.  A
 value that very many rows hold is an ordinary skewed join side.
@@ -23,6 +24,7 @@ KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name")
 
 # Patterns.  None starts inside a longer run of its own characters, so that long runs are read once.
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_SEVEN = "[0-9][ .()-]{0,3}" * 7
 MALE = ("Mr", "Herr", "Señor", "Monsieur")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame")
 NEUTRAL = ("Dr", "Prof")
@@ -32,7 +34,8 @@ PATTERNS = {
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,6}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": (r"(?<![0-9A-Za-z.+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
+    "phone": (rf"(?<![0-9A-Za-z.+])(?:\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{2,5}}(?<={_SEVEN})"
+              r"|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
               r"|[0-9]{10,12})(?![0-9A-Za-z]|\.[0-9])"),
     "name": rf"(?<!\p{{L}})(?:{'|'.join((*MALE, *FEMALE, *NEUTRAL))})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
 }
@@ -51,8 +54,23 @@ FAMILY_NAMES = ("Archer", "Baker", "Carter", "Dyer", "Ellis", "Fisher", "Gardner
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
              "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
              "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
-#: Tries after which a surrogate gets more letters than its value.
-PLAIN_TRIES = 4
+#: Other letters, by script: upper case, lower case and letters without case.
+SCRIPTS = (
+    ("Armenian", "ԱԲԳԴԵԶԷԸԹԺԻԼԽԾԿՀՁՂՃՄՅՆՇՈՉՊՋՌՍՎՏՐՑՓՔ", "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփք", ""),
+    ("Georgian", "ᲐᲑᲒᲓᲔᲕᲖᲗᲘᲙᲚᲛᲜᲝᲞᲟᲠᲡᲢᲣᲤᲥᲦᲧᲨᲩᲪᲫᲬᲭᲮᲯᲰ", "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", ""),
+    ("Cyrillic", ALPHABETS[4], ALPHABETS[3], ""),
+    ("Greek", ALPHABETS[6], ALPHABETS[5], ""),
+    ("Hebrew", "", "", "אבגדהוזחטיכלמנסעפצקרשת"),
+    ("Arabic", "", "", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    ("Devanagari", "", "", "कखगघचछजझटठडढतथदधनपफबभमयरलवशसह"),
+    ("Thai", "", "", "กขคงจฉชซญดตถทธนบปผฝพฟภมยรลวสหอ"),
+    ("Hiragana", "", "", "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめも"),
+    ("Katakana", "", "", "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモ"),
+    ("Hangul", "", "", "가나다라마바사아자차카타파하고노도로모보소오조초코토포호"),
+    ("Han", "", "", "一丁七三上下中主久之九也于五井京人仁今介代令以任伊休伯何余作"),
+)
+#: Tries after which a surrogate gets longer than its value, and what it grows by.
+PLAIN_TRIES, GROWTH = 4, 8
 
 
 def kind_of(value: Column) -> Column:
@@ -81,11 +99,22 @@ def _number(digest: Column, at: Column | int, below: int) -> Column:
 def _shaped(value: Column, digest: Column) -> Column:
     """Each letter and digit replaced by one of its alphabet, all else kept."""
     def one(c: Column, i: Column) -> Column:
-        out = c
+        out = unlisted(c, i)
         for letters in ALPHABETS:
-            out = F.when(F.lit(letters).contains(c), F.substr(F.lit(letters), _number(digest, i * 3, len(letters)) + 1, F.lit(1))).otherwise(out)
+            out = F.when(F.lit(letters).contains(c), drawn(letters, i)).otherwise(out)
         return F.when(c == "", c).otherwise(out)
 
+    def drawn(letters: str, i: Column) -> Column:
+        return F.substr(F.lit(letters), _number(digest, i * 3, len(letters)) + 1, F.lit(1))
+
+    def unlisted(c: Column, i: Column) -> Column:
+        """A letter of the script and case of one that no alphabet holds; of the Latin ones for scripts not listed."""
+        upper, out = c.rlike(r"\p{Lu}"), c
+        for script, large, small, plain in (("L", ALPHABETS[1], ALPHABETS[0], ""), *reversed(SCRIPTS)):
+            of = c.rlike(rf"\p{{{script if script == 'L' else 'Is' + script}}}")
+            out = F.when(of, F.when(upper, drawn(large or plain, i)).otherwise(drawn(small or plain, i))).otherwise(out)
+        return out
+
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
@@ -96,9 +125,12 @@ def _chosen(names: tuple[str, ...], digest: Column, at: int) -> Column:
 def surrogate(kind: Column, value: Column, attempt: int, key: str = KEY) -> Column:
     """A candidate for a canonical value."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, value, F.lit(str(attempt))), 256)
-    more = F.substr(digest, F.lit(50), F.lit(8)) if attempt >= PLAIN_TRIES else F.lit("")
+    longer = attempt >= PLAIN_TRIES
 
     def made(d: Column) -> Column:
+        more = F.substr(d, F.lit(50), F.lit(GROWTH)) if longer else F.lit("")
+        # Digits beyond those of the value.
+        grown = F.concat(value, F.repeat(F.lit("0"), F.lit(GROWTH))) if longer else value
         local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
         labels = F.split(domain, r"\.")
         above = F.regexp_replace(domain, r"(?:^|\.)[^.]*\.[^.]*$", "")
@@ -107,7 +139,7 @@ def surrogate(kind: Column, value: Column, attempt: int, key: str = KEY) -> Colu
                          F.when(above != "", F.concat(_shaped(above, F.reverse(d)), F.lit("."))).otherwise(F.lit("")),
                          F.lit("example."), F.when(last.isin("com", "org", "net"), last).otherwise(F.lit("com")))
         ip = F.concat_ws(".", *[(_number(d, i * 9, 254) + 1).cast("string") for i in range(4)])
-        iban = F.concat(F.substr(value, F.lit(1), F.lit(2)), _shaped(F.substr(value, F.lit(3)), d))
+        iban = F.concat(F.substr(value, F.lit(1), F.lit(2)), _shaped(F.substr(grown, F.lit(3)), d))
         title = F.regexp_extract(value, r"^(\p{L}+\.? )", 1)
         bare = F.regexp_replace(title, r"\.? $", "")
         male, female = _chosen(MALE_NAMES, d, 0), _chosen(FEMALE_NAMES, d, 0)
@@ -116,10 +148,12 @@ def surrogate(kind: Column, value: Column, attempt: int, key: str = KEY) -> Colu
         last_name = F.concat(_chosen(FAMILY_NAMES, d, 9), F.translate(more, "0123456789", "ghijklmnop"))
         own = F.substr(value, F.length(title) + 1)
         latin = own.rlike(r"^[\p{IsLatin}' -]+$")
-        name = F.concat(title, F.when(~latin, _shaped(own, d)).when(own.contains(" "), F.concat(first, F.lit(" "), last_name))
+        last_letter = F.substr(F.regexp_replace(own, r"[^\p{L}]", ""), F.lit(-1), F.lit(1))
+        spelt = F.concat(own, F.repeat(last_letter, F.lit(GROWTH))) if longer else own
+        name = F.concat(title, F.when(~latin, _shaped(spelt, d)).when(own.contains(" "), F.concat(first, F.lit(" "), last_name))
                         .otherwise(last_name))
         return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "iban", iban)
-                .when(kind == "name", name).otherwise(_shaped(value, d)))
+                .when(kind == "name", name).otherwise(_shaped(grown, d)))
 
     return let(digest, made)
 
@@ -132,7 +166,9 @@ def _written(kind: Column, value: Column, chosen: Column) -> Column:
         before = F.length(F.regexp_replace(F.substr(value, F.lit(1), i + 1), letters, F.lit("")))
         return F.when(F.regexp_replace(c, letters, F.lit("")) == "", c).otherwise(F.substr(chosen, before, F.lit(1)))
 
-    numbers = F.array_join(F.transform(F.split(value, ""), one), "")
+    # What a surrogate has grown by stands at the end.
+    places = F.length(F.regexp_replace(value, letters, F.lit("")))
+    numbers = F.concat(F.array_join(F.transform(F.split(value, ""), one), ""), F.substr(chosen, places + 1))
     upper = (value == F.upper(value)) & (value != F.lower(value))
     return (F.when(kind.isin("card", "ssn", "phone", "iban"), numbers)
             .when((kind == "email") & upper, F.upper(chosen)).otherwise(chosen))

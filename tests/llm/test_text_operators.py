@@ -216,6 +216,33 @@ def test_surrogates_are_distinct(spark):
     assert not {r.chosen for r in out} & {r.value for r in out}
 
 
+@pytest.mark.parametrize("kind,value", [("phone", "1234567"), ("ssn", "123456789"), ("name", "Dr. Արամ"), ("name", "Mr. Їё"),
+                                        ("name", "Dr. Ⰰⰱ'"), ("name", "Prof. É中")])
+def test_surrogates_grow(spark, kind, value):
+    """A shape of few candidates has more of them after some tries, and none is the value."""
+    late = [surrogates.surrogate(F.lit(kind), F.lit(value), attempt) for attempt in (0, surrogates.PLAIN_TRIES)]
+    first, grown = spark.range(1).select(*late).first()
+    assert len(first) == len(value) and first != value and len(grown) > len(value)
+    assert kind == "name" or grown.isdigit()
+
+
+def test_surrogates_of_full_shapes(spark):
+    values = spark.range(700).selectExpr("'phone' AS kind", "lpad(id, 3, '0') AS value").unionByName(
+        spark.createDataFrame([("name", "Dr. Արամ")], "kind string, value string"))
+    out = surrogates.surrogates(values).collect()
+    assert len(out) == 701 and len({r.chosen for r in out}) == 701 and not {r.chosen for r in out} & {r.value for r in out}
+    written = surrogates._written(F.lit("phone"), F.lit("+12 (3)"), F.lit("45678"))
+    assert spark.range(1).select(written).first()[0] == "+45 (6)78"
+
+
+def test_short_numbers_are_no_phones(spark):
+    rows = [(1, "rose +123 and +10.25 or +1 2 3"), (2, "call +1 234 567 now"), (3, "of Dr. Արամ Աբգ.")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[1].pii_entities == 0
+    assert re.fullmatch(r"call \+[0-9] [0-9]{3} [0-9]{3} now", got[2].text) and got[2].text != rows[1][1]
+    assert re.fullmatch(r"of Dr\. [Ա-Ք][ա-ք]{3} [Ա-Ք][ա-ք]{2}\.", got[3].text) and got[3].text != rows[2][1]
+
+
 # Fingerprints -------------------------------------------------------------------------------------
 
 def fingerprint_by_force(text):
