@@ -2,9 +2,9 @@
 
 A bounded sample trains coarse centroids and, for each of several subspaces, a codebook of
 residuals.  Every vector is put into the inverted list of its nearest centroid as the codes of its
-residual.  As a query it probes several lists: how many was measured at training, so that a
-vector at the threshold's distance is found in a probed list.  Within a list, distances to codes
-are sums of table look-ups; what they leave is compared by cosine in double precision.
+residual.  As a query it probes every list that a vector within the threshold's angle can be in;
+no link is lost by it.  Within a list, distances to codes are sums of table look-ups; what the
+triangle inequality leaves is compared by cosine in double precision.
 
 Lists and their queries are cut into blocks, so that a list with a share of all vectors fits its
 tasks.  A block counts links and keeps spanning ones; no pair leaves it otherwise.
@@ -28,24 +28,37 @@ SAMPLE, SAMPLE_BYTES = 20_000, 32_000_000
 #: Vectors a list holds on average, and lists at most.
 LIST, LISTS = 1000, 16_384
 SUBSPACES, CODES, ROUNDS = 8, 64, 10
-#: Share of vectors at the threshold that the probed lists must hold, as measured on the sample.
-FOUND = 0.999
-#: Standard errors of a code's distance that are let through.
-ERRORS = 5.0
+#: Against rounding, in cosines and distances.
+ROUNDING = 1e-9
 #: Vectors of a list and queries that meet in one task.
 MEMBERS, QUERIES = 1024, 4096
 
 
 class Model:
-    """Centroids, codebooks (subspace, code, component) and the number of lists to probe."""
+    """Centroids and codebooks (subspace, code, component)."""
 
-    def __init__(self, centroids: np.ndarray, books: list[np.ndarray], probes: int):
-        self.centroids, self.books, self.probes = centroids, books, probes
+    def __init__(self, centroids: np.ndarray, books: list[np.ndarray]):
+        self.centroids, self.books = centroids, books
 
     def distances(self, x: np.ndarray) -> np.ndarray:
         """Squared distances to the centroids, less the squared length of x."""
         return (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
 
+    def probed(self, x: np.ndarray, lists: np.ndarray, like: float) -> np.ndarray:
+        """For each unit vector x and list, whether a unit vector y with x @ y >= like can be in the list.
+
+        y is nearer to centroid c than to the own one o of x only if y @ (c - o) >= (c @ c - o @ o) / 2;
+        the largest such product in the cap around x is known.
+        """
+        dots, squares = x @ self.centroids.T, (self.centroids**2).sum(1)
+        along = dots - np.take_along_axis(dots, lists[:, None], 1)
+        own = squares[lists][:, None]
+        apart = np.maximum(squares + own - 2 * self.centroids[lists] @ self.centroids.T, 0)
+        cos = max(-1.0, like - ROUNDING)
+        edge = cos * along + np.sqrt(1 - cos * cos) * np.sqrt(np.maximum(apart - along**2, 0))
+        most = np.where(along >= cos * np.sqrt(apart), np.sqrt(apart), edge)
+        return most >= (squares - own) / 2 - ROUNDING
+
     def coded(self, x: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and how far they are off."""
         rest, codes, off = x - self.centroids[lists], [], np.zeros(len(x))
@@ -73,26 +86,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def train(sample: np.ndarray, n: int, like: float = LIKE) -> Model:
+def train(sample: np.ndarray, n: int) -> Model:
     """A model for n vectors from a sample of unit vectors."""
     rng = np.random.default_rng(1)
     lists = max(1, min(LISTS, n // LIST, len(sample) // 4))
     centroids = _means(sample, lists, rng)
-    model = Model(centroids, [], len(centroids))
+    model = Model(centroids, [])
     near = model.distances(sample).argmin(1)
     rest = sample - centroids[near]
     parts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
     model.books = [_means(rest[:, p], CODES, rng) for p in parts]
-    if len(centroids) > 1 and sample.shape[1] > 1:
-        # Vectors at the threshold's angle from a sample vector, in random directions.
-        x = sample[:4000]
-        away = rng.standard_normal(x.shape)
-        away -= (away * x).sum(1, keepdims=True) * x
-        y = like * x + np.sqrt(1 - like * like) * _unit(away)
-        d = model.distances(x)
-        own = d[np.arange(len(x)), model.distances(y).argmin(1)]
-        ranks = (d < own[:, None]).sum(1)
-        model.probes = int(min(len(centroids), np.quantile(ranks, FOUND, method="higher") + 1))
     return model
 
 
@@ -100,21 +103,19 @@ def _matrix(column: pd.Series, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(-1, dim)
 
 
-def _indexed(rows: DataFrame, model: Model, dim: int) -> DataFrame:
+def _indexed(rows: DataFrame, model: Model, like: float) -> DataFrame:
     """vec_id, n, unit, list, codes, off, probes of the distinct vectors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for i in range(0, len(batch), 1024):
-                part = batch.iloc[i : i + 1024]
+            for i in range(0, len(batch), 256):
+                part = batch.iloc[i : i + 256]
                 x = _unit(np.stack(part["vector"]).astype(np.float64))
-                d = model.distances(x)
-                lists = d.argmin(1)
+                lists = model.distances(x).argmin(1)
                 codes, off = model.coded(x, lists)
-                order = np.argpartition(d, model.probes - 1, axis=1)[:, : model.probes] if model.probes < d.shape[1] else (
-                    np.tile(np.arange(d.shape[1]), (len(x), 1)))
                 yield pd.DataFrame({
                     "vec_id": part["vec_id"], "n": part["n"], "unit": [r.tobytes() for r in x], "list": lists,
-                    "codes": [r.tobytes() for r in codes], "off": off, "probes": list(order.astype(np.int32))})
+                    "codes": [r.tobytes() for r in codes], "off": off,
+                    "probes": [np.flatnonzero(r).astype(np.int32) for r in model.probed(x, lists, like)]})
 
     return rows.select("vec_id", "n", "vector").mapInPandas(
         run, "vec_id long, n long, unit binary, list int, codes binary, off double, probes array<int>")
@@ -134,8 +135,8 @@ def _matched(model: Model, dim: int, like: float):
         qid, mid, weight = q["vec_id"].to_numpy(), m["vec_id"].to_numpy(), m["n"].to_numpy()
         codes = np.frombuffer(b"".join(m["codes"]), np.uint8).reshape(-1, len(parts))
         off, centre = m["off"].to_numpy(), model.centroids[key[0]]
-        # A vector at the threshold differs from its code by its own error and by chance beside it.
-        most = limit + off + 2 * ERRORS * np.sqrt(limit * off / dim)
+        # A vector within the threshold is at most so far from the code of the other.
+        most = (np.sqrt(limit) + np.sqrt(off)) ** 2 + ROUNDING
         label_q, label_m = qid.copy(), mid.copy()
         found, pairs = np.zeros(len(q), np.int64), []
         for i in range(len(q)):
@@ -169,8 +170,8 @@ def _linked(rows: DataFrame, dim: int, like: float) -> DataFrame:
     few = min(SAMPLE, max(1, SAMPLE_BYTES // (8 * dim)))
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(few).select("vec_id", "vector").collect()
     sample = _unit(np.array([list(r[1]) for r in sorted(drawn)], np.float64))
-    model = train(sample, n, like)
-    indexed = stored(_indexed(rows, model, dim), "index")
+    model = train(sample, n)
+    indexed = stored(_indexed(rows, model, like), "index")
 
     members = indexed.groupBy("list").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int").alias("blocks"))
     probes = indexed.select(F.explode("probes").alias("list")).groupBy("list").agg(

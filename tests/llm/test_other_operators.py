@@ -75,6 +75,22 @@ def test_vectors_in_many_lists_and_blocks(spark, monkeypatch):
     assert sum(r[1] for r in got.values()) >= 0.99 * sum(r[1] for r in want.values())
 
 
+def test_vectors_whose_smallest_ids_are_dense(spark, monkeypatch):
+    monkeypatch.setattr(pq, "LIST", 200)
+    rng = np.random.default_rng(2)
+    dense = np.repeat(rng.standard_normal((400, 16)), 10, axis=0) + 0.01 * rng.standard_normal((4000, 16))
+    loose, away = (rng.standard_normal((800, 16)) for _ in range(2))
+    loose /= np.linalg.norm(loose, axis=1, keepdims=True)
+    away -= (away * loose).sum(1, keepdims=True) * loose
+    pairs = 0.905 * loose + np.sqrt(1 - 0.905**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.concatenate([dense, loose, pairs])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    got = dict(pq.near_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>"))
+               .select("vec_id", "n_links").collect())
+    assert [i for i in range(len(x)) if got[i] != want[i]] == []
+
+
 def test_vectors_empty(spark):
     assert pq.near_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
