@@ -1,6 +1,7 @@
 """Document fingerprints by winnowing, with DataFrame functions alone.
 
-The grams are runs of k words.  Of every w consecutive gram hashes the smallest is selected, the
+The grams are runs of k words; characters of scripts without spaces, and those of words beyond a
+length, are words of their own.  Of every w consecutive gram hashes the smallest is selected, the
 rightmost of equal ones, together with its place.  Any run of w + k - 1 words that two texts share
 gives them a selected hash in common.  Hash and place travel as one number whose order is the
 order of selection, so that the minimum of a window is a minimum of numbers; windows of w = 2**p
@@ -18,7 +19,10 @@ from pyspark.sql import functions as F
 from tariffworks.llm.common import let
 
 #: Words of a gram, and the power of two that a window has.
-GRAM, WINDOW_POWER = 5, 4
+GRAM, WINDOW_POWER = 5, 2
+#: Letters of a word at most; of longer ones, and in these scripts, each character is a word.
+LONG_WORD = 320
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 #: Bits of a place: texts up to 67 million words.
 PLACE_BITS = 26
 _HASH_BITS = 63 - PLACE_BITS
@@ -56,10 +60,17 @@ def _windows(numbers: Column, power: int) -> Column:
         F.array_distinct(halved(numbers, 0)))
 
 
+def _words(text: Column) -> Column:
+    spaced = F.split(text, r"[\x20\x09-\x0D]+")
+    apart = F.split(F.regexp_replace(text, f"({UNSPACED})", " $1 "), r"[\x20\x09-\x0D]+")
+    pieces = F.flatten(F.transform(apart, lambda x: F.when(F.length(x) > LONG_WORD, F.split(x, "")).otherwise(F.array(x))))
+    odd = text.rlike(rf"{UNSPACED}|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{{LONG_WORD + 1}}}")
+    return F.filter(F.when(odd, pieces).otherwise(spaced), lambda x: x != "")
+
+
 def selected(text: Column, k: int = GRAM, power: int = WINDOW_POWER) -> Column:
     """The selected grams of a text, as numbers; null or empty: none."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    return let(words, lambda x: let(_grams(x, k), lambda g: _windows(g, power)))
+    return let(_words(F.coalesce(text, F.lit(""))), lambda x: let(_grams(x, k), lambda g: _windows(g, power)))
 
 
 def hashes(numbers: Column) -> Column:
@@ -130,8 +141,8 @@ def fingerprints(docs: DataFrame, k: int = GRAM, power: int = WINDOW_POWER) -> D
     first.  A single row is its own next.  Extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("numbers", selected(F.col("text"), k, power))
-    rows = with_next(rows, ["text", "numbers"], ["doc_id", "text"])
+    # Selected again for the next text: sending them beside the texts would take more disk.
+    rows = with_next(rows, ["text"], ["doc_id", "text"]).withColumn("numbers", selected(F.col("text"), k, power))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half)))
@@ -139,8 +150,8 @@ def fingerprints(docs: DataFrame, k: int = GRAM, power: int = WINDOW_POWER) -> D
     edited = let(selected(F.col("edited"), k, power), lambda e: F.struct(
         fingerprint(e).alias("fingerprint"), likeness(own, hashes(e)).alias("near")))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "numbers", "next_numbers", edited.alias("edited"))
+                       "numbers", hashes(selected(F.col("next_text"), k, power)).alias("next_hashes"), edited.alias("edited"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("numbers")).alias("fingerprint"),
         F.col("edited.fingerprint").alias("edited_fingerprint"), F.col("edited.near").alias("near_edited"),
-        likeness(own, hashes(F.col("next_numbers"))).alias("near_next"))
+        likeness(own, F.col("next_hashes")).alias("near_next"))

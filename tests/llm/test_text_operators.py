@@ -281,6 +281,16 @@ def test_fingerprints(spark):
         assert r.near_next == (len(a & c) / len(a | c) if a | c else 1.0)
 
 
+def test_half_kept_short_texts_stay_alike(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"word{rng.randrange(1000, 9999)}" for _ in range(20))) for i in range(20)]
+    han = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(60)) for _ in range(3)]
+    rows += [(100 + i, t) for i, t in enumerate(han)]
+    rows += [(200 + i, "".join(rng.choice("abcdefghij") for _ in range(2000))) for i in range(3)]
+    got = winnow.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in got if not 0 < r.near_edited < 1] == []
+
+
 def test_next_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(winnow, "RANGE", 4)
     df = spark.createDataFrame([(i * 7 % 101, str(i)) for i in range(101)], "doc_id long, text string").repartition(5)
