@@ -44,12 +44,10 @@ def filter_cases(cases: DataFrame, state: str | None = None, utility_name: str |
     return out
 
 
-def page_cases(cases: DataFrame, limit: int = 1000, offset: int = 0) -> DataFrame:
-    """One page of cases, newest filing first."""
-    return (
-        cases.orderBy(c("filing_date").desc_nulls_last(), "docket_number", "source")
-        .offset(offset).limit(limit)
-    )
+def page_cases(cases: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
+    """One page of cases, newest filing first; without a limit all from the offset on."""
+    page = cases.orderBy(c("filing_date").desc_nulls_last(), "docket_number", "source").offset(offset)
+    return page if limit is None else page.limit(limit)
 
 
 def lookup_case(cases: DataFrame, docket: str, source: str | None = None) -> DataFrame:
