@@ -83,10 +83,61 @@ SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
+#: Levels of a tree as a recursive query: every 16 consecutive nodes of a tree with more than one.
+_LEVELS = """
+    SELECT level + 1, tree, place // 16, sha256(string_agg(hash, '' ORDER BY place)), string_agg(hash, '' ORDER BY place)
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {tree}) WHERE n > 1 GROUP BY level, tree, place // 16
+"""
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+#: crc32 of a decimal number, byte by byte with the table of its polynomial.
+_CRC = """xor(list_reduce([4294967295] || list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1),
+    lambda i: ord(substr(CAST(doc_id AS VARCHAR), i, 1))),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+MANIFEST = f"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([b] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
+    FROM (SELECT unnest(range(256)) AS b)),
+hashed AS (
+    SELECT doc_id, source, {_leaf('text')} AS leaf,
+           {_leaf("CASE WHEN " + _CRC + " % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")}
+               AS claimed
+    FROM documents CROSS JOIN crc),
+leaves AS (
+    SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed),
+own(level, tree, place, hash, run) AS (
+    SELECT 0, tree, place, leaf, CAST(NULL AS VARCHAR) FROM leaves UNION ALL {_LEVELS.format(tree="own")}),
+subroots AS (SELECT tree, arg_max(hash, level) AS subroot, max(level) AS height FROM own GROUP BY tree),
+joint(level, tree, place, hash, run) AS (
+    SELECT 0, -1, tree, subroot, CAST(NULL AS VARCHAR) FROM subroots UNION ALL {_LEVELS.format(tree="joint")}),
+climb(nr, tree, spot, proof, folded, step, height) AS (
+    SELECT l.tree::HUGEINT * 1000000000000 + l.place, l.tree, l.place, '', claimed, 0, height FROM leaves l JOIN subroots s ON l.tree = s.tree
+    UNION ALL
+    SELECT nr, c.tree, spot // 16,
+           proof || left(run, CAST(64 * (spot % 16) AS BIGINT)) || substr(run, CAST(64 * (spot % 16 + 1) + 1 AS BIGINT)),
+           sha256(left(run, CAST(64 * (spot % 16) AS BIGINT)) || folded || substr(run, CAST(64 * (spot % 16 + 1) + 1 AS BIGINT))), step + 1, height
+    FROM (SELECT nr, tree, CASE WHEN step = height THEN tree ELSE spot END AS spot, proof, folded, step, height,
+                 CASE WHEN step < height THEN tree ELSE -1 END AS up_tree, CASE WHEN step < height THEN step ELSE step - height END + 1 AS up
+          FROM climb) c
+    JOIN (SELECT * FROM own UNION ALL SELECT * FROM joint) n ON n.tree = up_tree AND n.level = up AND n.place = spot // 16 AND up > 0),
+roots AS (SELECT arg_max(hash, level) AS root FROM joint),
+done AS (SELECT nr, arg_max(proof, step) AS proof, arg_max(folded, step) AS folded_root FROM climb GROUP BY nr)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.tree JOIN done ON nr = l.tree::HUGEINT * 1000000000000 + l.place CROSS JOIN roots
+"""
+
 SQL = {
     "op1_product_quantisation": VECTORS,
     "op2_collection_bwt": REPEATS,
     "op3_perspectives": chat.ROTATE_SQL,
     "op6_chosen_path": NEAR,
     "op10_source_schedule": MIX,
+    "op13_merkle_manifest": MANIFEST,
 }
