@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tariffworks.llm import bwt, chat, chosen_path, licenses, merkle, mixing, packing, pq, secrets, sql, surrogates, toxicity, winnow
+from tariffworks.llm import (
+    alignment, bwt, chat, chosen_path, licenses, merkle, mixing, packing, pq, secrets, sql, surrogates, toxicity, winnow,
+)
 from tariffworks.llm.common import table
 
 
@@ -59,6 +61,11 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in all documents, with corpus-wide counts of linked ids."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 def op12_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in all documents."""
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
@@ -69,7 +76,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_product_quantisation, op2_collection_bwt, op3_perspectives, op4_linked_credentials, op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing, op9_pu_toxicity, op10_source_schedule, op12_license_signatures, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (
+    op1_product_quantisation, op2_collection_bwt, op3_perspectives, op4_linked_credentials,
+    op5_surrogates, op6_chosen_path, op7_winnowing, op8_complement_packing,
+    op9_pu_toxicity, op10_source_schedule, op11_token_alignment, op12_license_signatures, op13_merkle_manifest,
+)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
