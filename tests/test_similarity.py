@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tariffworks.functions import names
+from tariffworks.operators import similarity
 from tariffworks.operators.similarity import best_similar, similar_names
 
 
@@ -50,6 +51,19 @@ def test_finds_exactly_the_pairs_of_brute_force(spark, threshold, alphabet, long
     assert {(r.left_name, r.right_name, r.score) for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("threshold", [82, 87])
+def test_nodes_of_several_pieces_lose_no_pair(spark, monkeypatch, threshold):
+    """Nearly every node goes on to the next piece, as in very large inputs."""
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    monkeypatch.setattr(similarity, "PAIRS_PER_NAME", 0.5)
+    left = random_names(5, 160, "ab cd", 22) + ["", "a", "ab"]
+    right = random_names(5, 140, "ab cd", 22) + ["", "b", "ab"]
+    expected = {(a, b, score(a, b)) for a in left for b in right if score(a, b) >= threshold}
+    make = lambda xs: spark.createDataFrame([("", x) for x in sorted(set(xs))], "block string, name string")
+    got = similar_names(make(left), make(right), threshold)
+    assert {(r.left_name, r.right_name, r.score) for r in got.collect()} == expected
+
+
 def test_names_of_other_blocks_are_not_compared(spark):
     left = spark.createDataFrame([("OR", "north gas"), ("WA", "north gas")], "block string, name string")
     right = spark.createDataFrame([("OR", "north gas")], "block string, name string")
