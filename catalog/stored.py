@@ -105,7 +105,7 @@ QUERIES = {
         *CASE_KEY, money_format(c("requested_revenue_change")).alias("requested"),
         money_format(c("approved_revenue_change"), "Pending").alias("approved")),
     # histograms
-    "hist_quality": lambda s, d: R.histogram(A.rate_cases(s, d), "quality_score", 20),
+    "hist_quality": lambda s, d: R.score_histogram(A.rate_cases(s, d), "quality_score", 20),
     "hist_approval_pct": lambda s, d: R.histogram(R.approval_rows(A.rate_cases(s, d)), "approval_pct", 20),
     "hist_monthly_impact": lambda s, d: R.histogram(impacts(s, d), "monthly_bill_impact", 30),
     "hist_pct_of_bill": lambda s, d: R.histogram(impacts(s, d), "pct_of_avg_bill", 20),

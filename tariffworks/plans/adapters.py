@@ -65,6 +65,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a unique key, before costly expressions.
+
+    A scan alone has as many tasks as its files have row groups, which may be one.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _nth(values: list[str], position: Column) -> Column:
     """Element at a position that counts from 1."""
     return F.element_at(F.array(*[lit(v) for v in values]), position.cast("int"))
@@ -113,7 +121,7 @@ def rate_cases(spark: SparkSession, sf_dir: str, score: bool = True, every_colum
         F.sum(_cents(c("l_extendedprice") * (1 - c("l_discount")))).alias("net"),
     )
     joined = (
-        table(spark, sf_dir, "orders")
+        dealt(table(spark, sf_dir, "orders"), "o_orderkey")
         .join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
         .join(amounts, c("o_orderkey") == c("l_orderkey"), "left")
     )
@@ -405,7 +413,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = raw_records(spark, sf_dir).select(
         F.concat(lit("o"), c("seq").cast("string")).alias("id"), c("description").alias("text")
     )
-    documents = table(spark, sf_dir, "documents").select(
+    documents = dealt(table(spark, sf_dir, "documents"), "doc_id").select(
         F.concat(lit("d"), c("doc_id").cast("string")).alias("id"), "text"
     )
     return described.unionByName(documents)
@@ -418,7 +426,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Web pages have negative ids.
     """
-    orders = table(spark, sf_dir, "orders").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
+    orders = dealt(table(spark, sf_dir, "orders"), "o_orderkey").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
     key = c("o_orderkey").cast("string")
     day = c("o_orderdate").cast("date")
     us = F.date_format(day, "M/d/yyyy")
@@ -462,5 +470,5 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         lit(" R-"), F.date_format(day, "yyyy-"), F.lpad(key, 7, "0"), lit("</p></body></html>"),
     )
     written = orders.select(c("o_orderkey").alias("page_id"), html.alias("html"))
-    web = table(spark, sf_dir, "pages").select((-1 - c("page_id")).alias("page_id"), "html")
+    web = dealt(table(spark, sf_dir, "pages"), "page_id").select((-1 - c("page_id")).alias("page_id"), "html")
     return written.unionByName(web)

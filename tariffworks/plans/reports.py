@@ -6,7 +6,7 @@ lists is 15 unless told otherwise; ties are broken by the key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariffworks.fixed_values import FUELS, QUALITY_FLOOR
@@ -274,6 +274,23 @@ def duration_by_state(cases: DataFrame) -> DataFrame:
 
 # --- histograms ---------------------------------------------------------------------------
 
+def _bin(low: Column, high: Column, bins: int) -> Column:
+    width = (high - low) / bins
+    inside = F.floor(F.try_divide(c("v") - low, width)).cast("int") + 1
+    return F.when(width > 0, F.least(inside, F.lit(bins))).otherwise(F.lit(1))
+
+
+def score_histogram(df: DataFrame, score: str, bins: int) -> DataFrame:
+    """As `histogram`, of a score from 0 to 1 with three decimals, in one pass.
+
+    Rows are counted by score, 1,001 counts at most; these are then binned between the least and the greatest.
+    """
+    counts = df.filter(c(score).isNotNull()).groupBy(c(score).cast("double").alias("v")).agg(F.count("*").alias("cnt"))
+    all_of = Window.partitionBy()
+    limited = counts.withColumns({"low": F.min("v").over(all_of), "high": F.max("v").over(all_of)})
+    return limited.groupBy(_bin(c("low"), c("high"), bins).alias("bin")).agg(F.sum("cnt").alias("cnt"))
+
+
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in equal-width bins between the least and the greatest value.
 
@@ -284,10 +301,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     values = df.filter(c(value).isNotNull()).select(c(value).cast("double").alias("v"))
     limits = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     spanned = values.withColumn("span", limits)
-    low, width = c("span.low"), (c("span.high") - c("span.low")) / bins
-    inside = F.floor(F.try_divide(c("v") - low, width)).cast("int") + 1
-    bin_no = F.when(width > 0, F.least(inside, F.lit(bins))).otherwise(F.lit(1))
-    return spanned.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("cnt"))
+    return spanned.groupBy(_bin(c("span.low"), c("span.high"), bins).alias("bin")).agg(F.count("*").alias("cnt"))
 
 
 # --- top lists ------------------------------------------------------------------------------
