@@ -9,7 +9,8 @@ at hand as a row and folds the hash it came with, until a node has no parent.
 * Places come from a range sort, so that a source with a third of all rows is spread over tasks.
 * All leaves meet in the same few nodes near the root, so these are stored in copies, one for every
   `SHARE` leaves below, and a leaf takes one of them.
-* What a step joins on is small; siblings are appended as rows of the result, not carried upwards.
+* Siblings are appended as rows of the result, not carried upwards.  Leaves of one run have the same
+  siblings above it, so these are appended once, by the first leaf of the run.  Digests are bytes.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SHARE = 4096
 TOP = -1
 #: Rows whose crc32 of the id this divides are tampered with.
 TAMPER_EVERY = 5
-_DIGEST = 64
+_DIGEST = 32
 
 
 def field(value: Column) -> Column:
@@ -65,9 +66,9 @@ def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
 class Manifest:
     """The stored parts of a manifest.
 
-    leaves: at (place among all rows), doc_id, leaf, claimed (the hash to be proved), tree, and the link
+    leaves: at (place among all rows), doc_id, leaf, claimed (the digest to be proved), tree, and the link
     (up_level, up_node, up_copies, slot) to the parent, null for a leaf without one.
-    nodes: tree, level, node, copy, hash, children (hex digests of the children, concatenated) and the
+    nodes: tree, level, node, copy, hash, children (digests of the children, concatenated) and the
     link (up_tree, up_level, up_node, up_copies, slot) to the parent, null for the root.
     subroots: tree, source, subroot.  root: the digest, None for an empty table.
     """
@@ -118,7 +119,7 @@ def build(docs: DataFrame, claimed: Column | None = None, fanout: int = FANOUT)
 
     own = sources.select(F.col("source").alias("name"), "tree", "first", "n")
     leaves = stored(placed.join(own, F.col("source").eqNullSafe(F.col("name"))).select(
-        "at", "doc_id", "leaf", F.coalesce("claimed", "leaf").alias("claimed"), "tree", "n", (F.col("at") - F.col("first")).alias("place")), "placed")
+        "at", "doc_id", "leaf", F.unhex(F.coalesce("claimed", "leaf")).alias("claimed"), "tree", "n", (F.col("at") - F.col("first")).alias("place")), "placed")
     below = leaves.select("tree", "place", F.col("leaf").alias("hash"), "n")
     levels = _levels(below, fanout, most)
 
@@ -152,12 +153,12 @@ def build(docs: DataFrame, claimed: Column | None = None, fanout: int = FANOUT)
         return rows.withColumn("up_copies", F.when(F.col("up_tree").isNotNull(), F.lit(shares)))
 
     def copied(rows: DataFrame, n_copies: int) -> DataFrame:
-        columns = ["tree", "level", F.col("place").alias("node"), "hash", "children", "up_tree", "up_level", "up_node", "up_copies", "slot"]
+        columns = ["tree", "level", F.col("place").alias("node"), F.unhex("hash").alias("hash"), F.unhex("children").alias("children"), "up_tree", "up_level", "up_node", "up_copies", "slot"]
         return rows.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(n_copies - 1))).alias("copy"))
 
     parts = [copied(linked(rows, k + 1), max(1, -(-fanout ** (k + 1) // SHARE))) for k, rows in enumerate(levels)]
     parts += [copied(linked_top(rows, k + 1), shares) for k, rows in enumerate(above)]
-    columns = "tree long, level int, node long, hash string, children string, up_tree long, up_level int, up_node long, up_copies int, slot int, copy int"
+    columns = "tree long, level int, node long, hash binary, children binary, up_tree long, up_level int, up_node long, up_copies int, slot int, copy int"
     nodes = spark.createDataFrame([], columns)
     for rows in parts:
         nodes = nodes.unionByName(rows)
@@ -165,35 +166,46 @@ def build(docs: DataFrame, claimed: Column | None = None, fanout: int = FANOUT)
 
 
 def climb(manifest: Manifest) -> DataFrame:
-    """at, level, folded (hex), siblings (binary): one row for each leaf and level, from the leaf (level 0) to the root.
+    """run, at, level, folded, siblings, done: one row for each leaf and level, from the leaf (level 0) to the root.
 
-    A recursive query; the last row of a leaf has the root that its claimed hash leads to.
+    A recursive query.  run is the place of the first leaf of the leaf's run; siblings are null where that
+    leaf has the same.  The last row of a leaf is done, and folded to the root that its claim leads to.
     """
     spark: SparkSession = manifest.leaves.sparkSession
     # All leaves take part: the number of rows is no sign of a query that does not end.
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    before = f"substring(n.children, 1, {_DIGEST} * c.slot)"
+    behind = f"substring(n.children, {_DIGEST} * (c.slot + 1) + 1)"
     return spark.sql(
         f"""
-        WITH RECURSIVE climb(at, level, folded, siblings, up_tree, up_level, up_node, up_copies, slot) AS (
-            SELECT at, 0, claimed, CAST('' AS BINARY), up_tree, up_level, up_node, up_copies, slot FROM {{leaves}}
+        WITH RECURSIVE climb(run, at, level, folded, siblings, up_tree, up_level, up_node, up_copies, slot) AS (
+            SELECT CASE WHEN up_tree = tree THEN at - slot ELSE at END, at, 0, claimed, CAST(NULL AS BINARY), up_tree, up_level, up_node, up_copies, slot FROM {{leaves}}
             UNION ALL
-            SELECT c.at, c.level + 1,
-                sha2(concat(left(n.children, {_DIGEST} * c.slot), c.folded, substring(n.children, {_DIGEST} * (c.slot + 1) + 1)), 256),
-                unhex(concat(left(n.children, {_DIGEST} * c.slot), substring(n.children, {_DIGEST} * (c.slot + 1) + 1))),
+            SELECT c.run, c.at, c.level + 1,
+                unhex(sha2(lower(hex(concat({before}, c.folded, {behind}))), 256)),
+                CASE WHEN c.level = 0 OR c.run = c.at THEN concat({before}, {behind}) END,
                 n.up_tree, n.up_level, n.up_node, n.up_copies, n.slot
             FROM climb c JOIN {{nodes}} n
             ON n.tree = c.up_tree AND n.level = c.up_level AND n.node = c.up_node AND n.copy = c.at % c.up_copies
         )
-        SELECT at, level, folded, siblings FROM climb
+        SELECT run, at, level, folded, siblings, up_node IS NULL AS done FROM climb
         """, leaves=manifest.leaves, nodes=manifest.nodes)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
-    """at, proof (the siblings' digests from the leaf to the root, left to right), folded_root."""
-    steps = F.array_sort(F.collect_list(F.struct("level", "siblings", "folded")))
-    return climb(manifest).groupBy("at").agg(steps.alias("steps")).select(
-        "at", F.aggregate("steps", F.lit(b""), lambda acc, s: F.concat(acc, s["siblings"])).alias("proof"),
-        F.element_at("steps", -1)["folded"].alias("folded_root"))
+    """at, proof (the siblings' digests from the leaf to the root, left to right), folded_root (a digest)."""
+    steps = climb(manifest).where("done OR siblings IS NOT NULL")
+    runs = steps.groupBy("run").agg(
+        F.array_sort(F.collect_list(F.when((F.col("at") == F.col("run")) & (F.col("level") > 1), F.struct("level", "siblings")))).alias("shared"),
+        F.collect_list(F.when(F.col("level") == 1, F.struct("at", "siblings"))).alias("own"),
+        F.collect_list(F.when(F.col("done"), F.struct("at", "folded"))).alias("roots"))
+    joined = F.aggregate("shared", F.lit(b""), lambda acc, s: F.concat(acc, s["siblings"]))
+    of_leaf = lambda rows, leaf: F.filter(rows, lambda x: x["at"] == leaf["at"])
+    each = F.transform("roots", lambda leaf: F.struct(
+        leaf["at"].alias("at"), leaf["folded"].alias("folded_root"),
+        F.coalesce(F.get(of_leaf(F.col("own"), leaf), F.lit(0))["siblings"], F.lit(b"")).alias("own")))
+    return runs.select(joined.alias("shared"), F.explode(each).alias("leaf")).select(
+        "leaf.at", F.concat("leaf.own", "shared").alias("proof"), "leaf.folded_root")
 
 
 def audit(docs: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -207,9 +219,11 @@ def audit(docs: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """
     tampered = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % TAMPER_EVERY == 0
     manifest = build(docs, F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text")), fanout)
-    rows = manifest.leaves.select("at", "doc_id", "leaf", "tree").join(proofs(manifest), "at")
+    proved = proofs(manifest).select(
+        "at", F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), F.lower(F.hex("folded_root")).alias("folded_root"))
+    rows = manifest.leaves.select("at", "doc_id", "leaf", "tree").join(proved, "at")
     rows = rows.join(manifest.subroots.select("tree", "subroot"), "tree")
     root = F.lit(manifest.root)
     return rows.select(
-        "doc_id", "leaf", "subroot", root.cast("string").alias("root"), F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root",
+        "doc_id", "leaf", "subroot", root.cast("string").alias("root"), "proof_sha256", "folded_root",
         (F.col("folded_root") == root).alias("verified"))
