@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from catalog.stored import capacity, impacts
 from tariffworks import fixed_values as V
+from tariffworks import schemas
 from tariffworks.operators.firstwins import first_per_key
 from tariffworks.plans import adapters as A
 from tariffworks.plans import jobs
@@ -30,19 +31,31 @@ def scratch(s) -> str:
     return f"{folder}/run-{uuid.uuid4().hex}"
 
 
-RAW_SHOWN = ["docket_number", "utility_name", "state", "source", "status", "filing_date", "description"]
+RAW_SHOWN = schemas.RAW_RECORD.names
 
 
-def _raw_json(s, d):
-    """Raw records written as files that hold an array, one file per thousand records."""
+def _raw_files(s, d):
+    """Raw records written as files: arrays of a thousand, the last of each thousand alone, and files cut short."""
     folder = scratch(s)
-    raw = A.raw_records(s, d)
-    arrays = raw.select(
-        F.floor(c("seq") / 1000).alias("part"), F.struct(*RAW_SHOWN).alias("record")
-    ).groupBy("part").agg(F.to_json(F.collect_list("record")).alias("value"))
-    arrays.repartition("part").write.partitionBy("part").text(folder)
-    records, _ = readers.read_raw_json(s, f"{folder}/*")
-    return records.select(*RAW_SHOWN)
+    raw = A.raw_records(s, d).select("seq", F.struct(*RAW_SHOWN).alias("record"))
+    single = c("seq") % 1000 == 999
+    kind = F.when(single, F.concat(lit("one-"), c("seq").cast("string"))).otherwise(
+        F.concat(lit("list-"), F.floor(c("seq") / 1000).cast("string")))
+    listed = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("seq", "record"))), lambda x: x["record"]))
+    files = raw.groupBy(kind.alias("part")).agg(
+        F.when(F.count("*") == 1, F.to_json(F.first("record"))).otherwise(listed).alias("value"))
+    cut = files.filter(c("part").startswith("list-")).select(
+        F.concat(lit("cut-"), c("part")).alias("part"), F.substring("value", 1, 100).alias("value"))
+    files.unionByName(cut).repartition("part").write.partitionBy("part").text(folder)
+    return readers.read_raw_json(s, f"{folder}/*")
+
+
+def _raw_json(s, d):
+    return _raw_files(s, d)[0].select(*RAW_SHOWN)
+
+
+def _raw_rejects(s, d):
+    return _raw_files(s, d)[1].select(F.regexp_extract("file", "part=([^/]*)", 1).alias("part"), "reason", F.length("text").alias("n_chars"))
 
 
 def _union(s, d):
@@ -67,6 +80,42 @@ def _sheet(s, d):
         *[F.coalesce(F.format_number(a, 3), lit(".")).alias(b) for a, b in {**number, **prices}.items()])
 
 
+def _operations_files(s, d):
+    """The sheet as one file per year: one header row, two header rows, or a title, columns turned round and other spellings."""
+    sheet = _sheet(s, d).withColumnRenamed("Data Year", "year")
+    columns = [x for x in sheet.columns if x != "year"]
+    paired = []
+    for x in columns:
+        of_class = next((k for k in V.CUSTOMER_CLASSES if x.startswith(f"{k.title()} ")), None)
+        paired.append((of_class.upper(), x[len(of_class) + 1 :]) if of_class else tuple(x.split(".")) if "." in x else (x, ""))
+    # A parent stands over the first of its columns.
+    parents = [p if i == 0 or p != paired[i - 1][0] else "" for i, (p, _) in enumerate(paired)]
+    other = {"UTILITY_NUMBER": "Utility Number", "Utility Name": "utility name ", "STATE": "State", "Ownership Type": "Ownership"}
+    style = c("year") % 3
+
+    def text(values) -> str:
+        return F.array_join(F.array(*[F.concat(lit('"'), F.coalesce(v, lit("")), lit('"')) for v in values]), ",")
+
+    turned = columns[::-1]
+    body = sheet.select("year", lit(9).alias("line"), F.when(style == 2, text(c(f"`{x}`") for x in turned)).otherwise(
+        text(c(f"`{x}`") for x in columns)).alias("value"))
+    years = sheet.select("year").distinct()
+    heads = [
+        (years.filter(style == 0), 1, [lit(x) for x in columns]),
+        (years.filter(style == 1), 1, [lit(p) for p in parents]),
+        (years.filter(style == 1), 2, [lit(child) for _, child in paired]),
+        (years.filter(style == 2), 1, [lit("Sales to customers"), *[lit("")] * (len(columns) - 1)]),
+        (years.filter(style == 2), 2, [lit(other.get(x, x)) for x in turned]),
+    ]
+    lines = body
+    for part, line, cells in heads:
+        lines = lines.unionByName(part.select("year", lit(line).alias("line"), text(cells).alias("value")))
+    folder = scratch(s)
+    lines.repartition("year").sortWithinPartitions("year", "line").drop("line").write.partitionBy("year").text(folder)
+    year = F.regexp_extract("file", r"year=(\d+)", 1).cast("int")
+    return readers.read_operations_files(s, f"{folder}/*", year)[0]
+
+
 def _emission_sheet(s, d):
     rows = A.utility_emissions(s, d)
     back = {name: code for code, name in V.EMISSIONS_COLUMNS.items()}
@@ -139,8 +188,10 @@ def _stream(s, d):
 QUERIES = {
     "src_raw_json": _raw_json,
     "src_union_all": _union,
-    "src_ops_csv": lambda s, d: readers.operations_rows(_sheet(s, d), c("Data Year")),
-    "src_emissions_map": lambda s, d: readers.emissions_rows(_emission_sheet(s, d), c("year")).drop("nox_tons", "so2_tons", "nox_rate_lbs_mwh", "so2_rate_lbs_mwh"),
+    "src_raw_json_rejects": _raw_rejects,
+    "src_ops_sheet": lambda s, d: readers.operations_rows(_sheet(s, d), c("Data Year")),
+    "src_ops_csv": _operations_files,
+    "src_emissions_map": lambda s, d: readers.emissions_rows(_emission_sheet(s, d), c("year")),
     "src_generator_rows": lambda s, d: readers.generator_rows(_generator_sheet(s, d)),
     "src_paged_json_cases": _paged,
     "sink_tables": _tables,

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalog.files import scratch
 from catalog.stored import capacity, impacts
+from tariffworks import fixed_values as V
 from tariffworks import schemas
 from tariffworks.operators import (
     extract, firstwins, linkage, merge, pages, quality, resolve,
 )
 from tariffworks.plans import adapters as A
-from tariffworks.plans import jobs
+from tariffworks.plans import jobs, pipeline
 from tariffworks.plans import reports as R
 
 c, lit = F.col, F.lit
@@ -214,6 +216,18 @@ def _ingested(s, d):
                        _empty(s, "utility_emissions"), _empty(s, "rate_case_impacts"))
 
 
+def _piped(s, d):
+    """Every second raw record stored in a first run, all of them in a second one."""
+    root, raw = scratch(s), A.raw_records(s, d)
+    at = [lit("2001-01-01 00:00:00").cast("timestamp") + F.make_interval(hours=lit(h)) for h in range(4)]
+    pipeline.create_tables(s, root)
+    pipeline.store_batch(s, root, raw.filter(c("seq") % 2 == 0), V.SOURCES, "first", at[0], at[1])
+    empty_links = _empty(s, "utility_eia_links").withColumn("seq", lit(0))
+    return pipeline.run_pipeline(
+        s, root, raw, V.SOURCES, "second", at[2], at[3], _empty(s, "utilities"), aliases(s), empty_links,
+        _empty(s, "utility_emissions"), _empty(s, "rate_case_impacts"))
+
+
 def _enriched(s, d):
     """Rows of each enrichment table and what identifies them best."""
     operations = A.linkage_right(s, d).withColumns({
@@ -301,6 +315,13 @@ QUERIES = {
     "job_ingest": lambda s, d: _ingested(s, d)["rate_cases"].select(
         "docket_number", "source", "utility_name", "canonical_utility_name", "state", "case_type", "utility_type",
         "status", "filing_date", "requested_revenue_change", "approved_revenue_change", "quality_score"),
+    "job_pipeline": lambda s, d: _piped(s, d)["rate_cases"].select(
+        "docket_number", "source", "utility_name", "canonical_utility_name", "state", "case_type", "utility_type",
+        "status", "filing_date", "requested_revenue_change", "approved_revenue_change", "quality_score"),
+    "job_pipeline_runs": lambda s, d: _piped(s, d)["pipeline_runs"].select(
+        "run_id", "source", "stage", "status", "records_processed", "records_created", "records_updated", "errors",
+        F.date_format("started_at", "HH").alias("started"), F.date_format("completed_at", "HH").alias("completed")),
+    "job_pipeline_statistics": lambda s, d: _piped(s, d)["statistics"],
     "report_summary": lambda s, d: jobs.report_summary(A.rate_cases(s, d))["largest"],
     "case_detail": lambda s, d: jobs.case_detail(A.rate_cases(s, d), "77"),
 }

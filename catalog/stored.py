@@ -74,6 +74,9 @@ QUERIES = {
     "stats_date_range": lambda s, d: R.stats_date_range(A.rate_cases(s, d)),
     "stats_enrichment": lambda s, d: R.stats_enrichment(
         A.utility_operations(s, d), A.links(s, d), A.utility_emissions(s, d), capacity(s, d), impacts(s, d)),
+    "stats_all": lambda s, d: R.store_statistics(
+        A.rate_cases(s, d), A.case_documents(s, d), A.utility_operations(s, d), A.links(s, d), A.utility_emissions(s, d),
+        capacity(s, d), impacts(s, d)),
     # reports
     "kpi_overview": lambda s, d: R.kpi_overview(A.rate_cases(s, d)),
     "counts_by_state": lambda s, d: R.counts_by(A.rate_cases(s, d), "state"),

@@ -7,10 +7,14 @@ from oracle import texts  # noqa: F401  (defines parsed_records)
 from oracle.tables import query
 
 SQL = {
-    "src_raw_json": query("SELECT docket_number, utility_name, state, source, status, filing_date, description FROM raw_records"),
+    "src_raw_json": query("SELECT * EXCLUDE (seq), " + ", ".join(f"CAST(NULL AS VARCHAR) AS {x}" for x in [
+        "approved_revenue_change", "rate_base", "return_on_equity", "requested_rate_change_pct", "approved_rate_change_pct", "scraped_at"]) + " FROM raw_records"),
+    "src_raw_json_rejects": query("SELECT DISTINCT 'cut-list-' || seq // 1000 AS part, 'malformed file' AS reason, 100 AS n_chars FROM raw_records WHERE seq % 1000 <> 999"),
     "src_union_all": query("SELECT docket_number, source, CASE WHEN source <> 'oregon_puc' THEN source_url END AS source_url, description FROM raw_records"),
+    "src_ops_sheet": query("SELECT " + OPS.replace(" ", ", ") + " FROM utility_operations WHERE eia_utility_id NOT IN (0, 3)"),
     "src_ops_csv": query("SELECT " + OPS.replace(" ", ", ") + " FROM utility_operations WHERE eia_utility_id NOT IN (0, 3)"),
-    "src_emissions_map": query("SELECT " + EMI.replace(" ", ", ") + " FROM utility_emissions"),
+    "src_emissions_map": query("SELECT " + EMI.replace(" ", ", ") + ", " + ", ".join(f"CAST(NULL AS DOUBLE) AS {x}" for x in [
+        "nox_tons", "so2_tons", "nox_rate_lbs_mwh", "so2_rate_lbs_mwh"]) + " FROM utility_emissions"),
     "src_generator_rows": query("SELECT * FROM generators WHERE nameplate_mw NOT IN (7, 9)"),
     "src_paged_json_cases": query("""SELECT CAST(floor(seq / 50) AS BIGINT) AS page_no, docket_number AS iurc_docketnumber,
         strftime(filing_date, '%m/%d/%Y') AS iurc_petitiondate, utility_name AS iurc_forpetionersearch, utility_type AS iurc_industry

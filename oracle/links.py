@@ -5,7 +5,7 @@ Fuzzy stages compare every pair; the Spark side never does.
 
 from __future__ import annotations
 
-from oracle.stored import LABELS
+from oracle.stored import LABELS, statistics
 from oracle.tables import STATE, TABLES, array, query, score, text
 from oracle.texts import ISSUES, VALIDATE, clean, form, lcs, norm, ratio, words
 from tariffworks import fixed_values as V
@@ -197,6 +197,14 @@ SQL = {
         "job_emissions": f"""SELECT e.name, e.state, EXISTS (SELECT 1 FROM job_links k WHERE k.state = e.state AND (k.norm = e.norm OR {ratio('e.a', 'k.b', lcs('e.a', 'k.b'))} >= 82))::INT AS is_linked FROM emission_names e"""}),
     "job_ingest": query(f"""SELECT docket_number, source, utility_name, canonical_utility_name, state, case_type, utility_type, status, filing_date,
             requested_revenue_change, approved_revenue_change, {score()} AS quality_score FROM ingest_rows""", INGESTED),
+    "job_pipeline": query(f"""SELECT docket_number, source, utility_name, canonical_utility_name, state, case_type, utility_type, status, filing_date,
+            requested_revenue_change, approved_revenue_change, {score()} AS quality_score FROM ingest_rows""", INGESTED),
+    "job_pipeline_runs": query("""SELECT left(sha256('first/' || source), 8) AS run_id, source, 'store' AS stage, 'completed' AS status, half AS records_processed, half AS records_created,
+            0 AS records_updated, 0 AS errors, '00' AS started, '01' AS completed FROM run_counts
+        UNION ALL SELECT left(sha256('second/' || source), 8), source, 'store', 'completed', every, every - half, half, 0, '02', '03' FROM run_counts""", {
+        "run_counts": f"""SELECT x AS source, count(seq) AS every, count(seq) FILTER (seq % 2 = 0) AS half
+            FROM (SELECT unnest({list(V.SOURCES)}) AS x) LEFT JOIN (SELECT * FROM raw_records WHERE trim(docket_number) <> '') ON source = x GROUP BY 1"""}),
+    "job_pipeline_statistics": query(statistics("scored_rows"), {**INGESTED, "scored_rows": f"SELECT *, {score()} AS quality_score FROM ingest_rows"}),
     "report_summary": query("""SELECT docket_number, substr(display_name, 1, 45) AS utility, state, '$' || format('{:,.1f}', requested_revenue_change) AS requested,
             coalesce('$' || format('{:,.1f}', approved_revenue_change), 'Pending') AS approved, status
         FROM rate_cases WHERE coalesce(requested_revenue_change, 0) <> 0 ORDER BY abs(requested_revenue_change) DESC, docket_number, source LIMIT 15"""),

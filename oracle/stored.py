@@ -60,7 +60,35 @@ def counts(key: str) -> str:
 MIX = [f"{f}_pct" for f in V.FUELS[:6]] + ["other_renewable_pct"]
 MIX_LABELS = [f.title() for f in V.FUELS[:6]] + ["Other Renewable"]
 
+def statistics(rows: str) -> str:
+    """All statistics of a table of cases in long form."""
+    single = {
+        ("total", "cases"): "count(*)", ("total", "unique_utilities"): "count(DISTINCT utility_name)",
+        ("financial", "cases_with_revenue_data"): "count(requested_revenue_change)",
+        ("financial", "total_requested_m"): "round(coalesce(sum(requested_revenue_change), 0), 1)",
+        ("financial", "avg_requested_m"): "round(coalesce(avg(requested_revenue_change), 0), 1)",
+        ("financial", "total_approved_m"): "round(coalesce(sum(approved_revenue_change) FILTER (requested_revenue_change IS NOT NULL), 0), 1)",
+        ("financial", "avg_approved_m"): "round(coalesce(avg(approved_revenue_change) FILTER (requested_revenue_change IS NOT NULL), 0), 1)",
+        ("financial", "avg_roe_pct"): "round(coalesce(avg(return_on_equity) FILTER (requested_revenue_change IS NOT NULL), 0), 2)",
+        ("quality", "avg_score"): "round(coalesce(avg(quality_score), 0), 3)", ("quality", "min_score"): "round(coalesce(min(quality_score), 0), 3)",
+        ("quality", "max_score"): "round(coalesce(max(quality_score), 0), 3)", ("quality", "above_threshold"): "count(*) FILTER (quality_score >= 0.6)",
+        ("dates", "earliest_filing"): "strftime(min(filing_date), '%Y%m%d')", ("dates", "latest_filing"): "strftime(max(filing_date), '%Y%m%d')",
+    }
+    parts = [f"SELECT '{a}' AS section, CAST(NULL AS VARCHAR) AS key, '{b}' AS metric, CAST({v} AS DOUBLE) AS value FROM {rows}" for (a, b), v in single.items()]
+    parts += [f"SELECT 'by_{k}', {k}, 'cases', CAST(count(*) AS DOUBLE) FROM {rows} GROUP BY {k}" for k in ("state", "source", "case_type", "status")]
+    return " UNION ALL ".join(parts)
+
+
+def _counted(section: str, metric: str, table: str, what: str = "*") -> str:
+    return f" UNION ALL SELECT '{section}', NULL, '{metric}', CAST(count({what}) AS DOUBLE) FROM {table}"
+
+
 SQL = {
+    "stats_all": query(statistics("rate_cases") + _counted("documents", "documents", "case_documents")
+                       + "".join(_counted("enrichment", *x) for x in [
+                           ("utility_operations", "utility_operations"), ("eia_links", "links"), ("emissions_records", "utility_emissions"),
+                           ("capacity_records", "utility_capacity"), ("impact_records", "impacts"),
+                           ("unique_eia_utilities", "utility_operations", "DISTINCT eia_utility_id"), ("linked_utilities", "links", "DISTINCT eia_utility_id")])),
     "filter_cases": query(f"SELECT {SHOWN} FROM rate_cases WHERE state = 'AL' AND (utility_name ILIKE '%group%' "
                           "OR canonical_utility_name ILIKE '%group%') AND status = 'decided' AND quality_score >= 0.7"),
     "page_cases": query(f"SELECT {SHOWN} FROM rate_cases ORDER BY filing_date DESC NULLS LAST, docket_number, source LIMIT 25 OFFSET 50"),

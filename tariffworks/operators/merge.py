@@ -8,18 +8,20 @@ does to the stored one:
 * ``overwrite``           the incoming value always wins, null included
 * ``keep_old``            the stored value stays (creation time)
 
-The stored table may be far larger than the batch.  It is probed with a left
-join and the new keys are found with an anti join, so when the batch is small
-Spark broadcasts it and the table is never shuffled; a full outer join would
-shuffle it every time.
+The batch is folded once and meets the table in one full outer join: both are read once, and the table
+is shuffled once at most.  A small batch does not touch all of a large table: :func:`merge_partitions`
+reads, shuffles and writes only the partitions that the batch has keys in.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tariffworks.session import cut_lineage
 
 KEEP_OLD_ON_NULL = "keep_old_on_null"
 KEEP_OLD_ON_UNKNOWN = "keep_old_on_unknown"
@@ -39,8 +41,8 @@ def _usable(column: Column, policy: str) -> Column:
 
 
 def fold_batch(batch: DataFrame, keys: list[str], seq: str, policies: dict[str, str] | None = None,
-               default: str = KEEP_OLD_ON_NULL) -> DataFrame:
-    """One row per key: the effect of applying the rows of a batch in order.
+               default: str = KEEP_OLD_ON_NULL, count_as: str | None = None) -> DataFrame:
+    """One row per key: the effect of applying the rows of a batch in order, and their number if it is asked for.
 
     An aggregation per column (last usable value by ``seq``), reduced before
     the shuffle.
@@ -63,7 +65,8 @@ def fold_batch(batch: DataFrame, keys: list[str], seq: str, policies: dict[str,
             if policy == KEEP_OLD_ON_UNKNOWN:
                 last = F.coalesce(last, F.max_by(value, order))
             folded.append(last.alias(name))
-    return batch.groupBy(*keys).agg(*folded)
+    counted = [F.count("*").alias(count_as)] if count_as else []
+    return batch.groupBy(*keys).agg(*folded, *counted)
 
 
 def merge(old: DataFrame, batch: DataFrame, keys: list[str], seq: str,
@@ -74,40 +77,56 @@ def merge(old: DataFrame, batch: DataFrame, keys: list[str], seq: str,
     ``insert_defaults`` fill columns of rows that are new.  Columns the batch
     does not have keep their stored values.
     """
+    return merge_effects(old, batch, keys, seq, policies, default, insert_defaults).select(*old.columns)
+
+
+def merge_effects(old: DataFrame, batch: DataFrame, keys: list[str], seq: str,
+                  policies: dict[str, str] | None = None, default: str = KEEP_OLD_ON_NULL,
+                  insert_defaults: dict[str, str] | None = None) -> DataFrame:
+    """As `merge`, with is_new (the key was not stored) and n_rows (of the batch, 0 where it left the row alone)."""
     policies = policies or {}
-    new = fold_batch(batch, keys, seq, policies, default)
+    fields = [c for c in batch.columns if c not in keys and c != seq]
+    new = fold_batch(batch, keys, seq, policies, default, count_as="__n")
     new = new.select(*[F.col(k).alias(f"__{k}") for k in keys],
                      F.struct(*[c for c in new.columns if c not in keys]).alias("__new"))
-    fields = [c for c in batch.columns if c not in keys and c != seq]
-
-    same_key = _same_key(keys)
-
-    def combined(name: str) -> Column:
-        if name in keys or name not in fields:
-            return F.col(name)
-        stored, incoming = F.col(name), F.col("__new")[name]
-        policy = policies.get(name, default)
-        if policy == OVERWRITE:
-            value = F.when(F.col("__new").isNotNull(), incoming).otherwise(stored)
-        elif policy == KEEP_OLD:
-            value = F.coalesce(stored, incoming)
-        else:
-            value = F.coalesce(_usable(incoming, policy), stored)
-        return value.alias(name)
+    is_new, touched = F.col("__stored").isNull(), F.col("__new").isNotNull()
 
-    def inserted(name: str, field) -> Column:
+    def value(name: str, field) -> Column:
         if name in keys:
-            return F.col(f"__{name}").alias(name)
-        value = F.col("__new")[name] if name in fields else F.lit(None)
+            return F.when(is_new, F.col(f"__{name}")).otherwise(F.col(name))
+        if name not in fields:
+            both = F.col(name)
+        else:
+            stored, incoming = F.col(name), F.col("__new")[name].cast(field.dataType)
+            policy = policies.get(name, default)
+            if policy == OVERWRITE:
+                both = F.when(touched, incoming).otherwise(stored)
+            elif policy == KEEP_OLD:
+                both = F.coalesce(stored, incoming)
+            else:
+                both = F.when(is_new, incoming).otherwise(F.coalesce(_usable(incoming, policy), stored))
         if insert_defaults and name in insert_defaults:
-            value = F.coalesce(value, F.lit(insert_defaults[name]))
-        return value.cast(field.dataType).alias(name)
+            both = F.when(is_new, F.coalesce(both, F.lit(insert_defaults[name]).cast(field.dataType))).otherwise(both)
+        return both
 
-    kept = old.join(new, same_key, "left").select(*[combined(x) for x in old.columns])
-    stored_keys = old.select(*keys)
-    fresh = new.join(stored_keys, same_key, "left_anti")
-    fresh = fresh.select(*[inserted(f.name, f) for f in old.schema.fields])
-    return kept.unionByName(fresh)
+    joined = old.withColumn("__stored", F.lit(True)).join(new, _same_key(keys), "full_outer")
+    return joined.select(
+        *[value(f.name, f).cast(f.dataType).alias(f.name) for f in old.schema.fields],
+        is_new.alias("is_new"), F.coalesce(F.col("__new.__n"), F.lit(0)).alias("n_rows"))
+
+
+def merge_partitions(spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, partition: str, merger) -> DataFrame:
+    """Apply ``merger(stored, batch)`` to the partitions of a table that the batch has rows in; returns what it gave.
+
+    ``partition`` is a column of the key, so that a key never leaves its partition.  The result is stored
+    before any partition is replaced: a failure leaves the table as it was or lets the replacement be repeated.
+    """
+    touched = [row[0] for row in batch.select(partition).distinct().collect()]
+    stored = spark.read.schema(schema).parquet(path).select(*schema.names)
+    result = cut_lineage(merger(stored.filter(F.col(partition).isin(touched)), batch))
+    (result.select(*stored.columns).hint("rebalance", partition).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    return result
 
 
 def merge_counts(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -141,12 +160,16 @@ def merge_existence(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
 # --- the tables ------------------------------------------------------------------
 
 CASE_KEYS = ["docket_number", "source"]
+CASE_REQUIRED = ["docket_number", "utility_name", "state"]
 CASE_DEFAULTS = {"case_type": "unknown", "utility_type": "unknown", "status": "unknown"}
 
 
+def case_effects(old: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
+    return merge_effects(old, batch, CASE_KEYS, seq, {"created_at": KEEP_OLD}, insert_defaults=CASE_DEFAULTS)
+
+
 def merge_cases(old: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
-    return merge(old, batch, CASE_KEYS, seq, {"created_at": KEEP_OLD},
-                 insert_defaults=CASE_DEFAULTS)
+    return case_effects(old, batch, seq).select(*old.columns)
 
 
 def merge_utilities(old: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
@@ -188,7 +211,7 @@ def merge_store(old: DataFrame, batch: DataFrame, source: str, seq: str = "seq"
                 ) -> tuple[DataFrame, DataFrame]:
     """Store a batch under a source: the merged table and one row of counters."""
     tagged = batch.withColumn("source", F.lit(source))
-    valid, invalid = split_valid(tagged, ["docket_number", "utility_name", "state"])
+    valid, invalid = split_valid(tagged, CASE_REQUIRED)
     errors = invalid.agg(F.count("*").alias("errors"))
     counts = merge_counts(old, valid, CASE_KEYS).select(
         F.lit(source).alias("source"),

@@ -64,23 +64,20 @@ def enrich(cases: DataFrame, utilities: DataFrame, operations: DataFrame, emissi
     }
 
 
+def summaries(scored: DataFrame) -> dict[str, DataFrame]:
+    """What a run reports of the scored cases."""
+    return {"validation": quality.validation_summary(scored), "statistics": reports.case_statistics(scored)}
+
+
 def ingest(raw: DataFrame, stored: DataFrame, utilities: DataFrame, aliases: DataFrame,
            links: DataFrame, emissions: DataFrame, impacts: DataFrame) -> dict[str, DataFrame]:
-    """Raw records to stored, named and scored cases, with the statistics of the result."""
+    """Raw records to named and scored cases without storing any, with the statistics of the result."""
     parsed, rejects = extract.parse_record(raw)
     typed = parsed.withColumn("scraped_at", F.try_to_timestamp("scraped_at"))
     merged = cut_lineage(merge.merge_cases(stored, typed))
     named, organisations = normalise(merged, utilities, aliases)
     scored = validate(named, links, emissions, impacts)
-    return {
-        "rate_cases": scored.select(*stored.columns),
-        "utilities": organisations,
-        "rejects": rejects,
-        "counts": merge.merge_counts(stored, parsed, merge.CASE_KEYS),
-        "validation": quality.validation_summary(scored),
-        "by_state": reports.stats_by(scored, "state"),
-        "financial": reports.stats_financial(scored),
-    }
+    return {"rate_cases": scored.select(*stored.columns), "utilities": organisations, "rejects": rejects, **summaries(scored)}
 
 
 def report_summary(cases: DataFrame) -> dict[str, DataFrame]:

@@ -93,6 +93,73 @@ def stats_enrichment(operations: DataFrame, links: DataFrame, emissions: DataFra
     return out
 
 
+_GROUPED = ["state", "source", "case_type", "status"]
+
+
+def case_statistics(cases: DataFrame) -> DataFrame:
+    """All statistics of the cases in long form (section, key, metric, value), from one scan and one shuffle.
+
+    Sections: total, financial, quality, dates (as yyyymmdd) and by_state, by_source, by_case_type, by_status.
+    Names are one more grouping set, so that they are counted without a distinct aggregate.
+    """
+    asked, given, q, filed = c("requested_revenue_change"), c("approved_revenue_change"), c("quality_score"), c("filing_date")
+    named = asked.isNotNull()
+    of_all = {
+        ("financial", "cases_with_revenue_data"): F.count(asked),
+        ("financial", "total_requested_m"): F.round(_or_zero(F.sum(asked)), 1),
+        ("financial", "avg_requested_m"): F.round(_or_zero(F.avg(asked)), 1),
+        ("financial", "total_approved_m"): F.round(_or_zero(F.sum(F.when(named, given))), 1),
+        ("financial", "avg_approved_m"): F.round(_or_zero(F.avg(F.when(named, given))), 1),
+        ("financial", "avg_roe_pct"): F.round(_or_zero(F.avg(F.when(named, c("return_on_equity")))), 2),
+        ("quality", "avg_score"): F.round(_or_zero(F.avg(q)), 3),
+        ("quality", "min_score"): F.round(_or_zero(F.min(q)), 3),
+        ("quality", "max_score"): F.round(_or_zero(F.max(q)), 3),
+        ("quality", "above_threshold"): F.count_if(q >= QUALITY_FLOOR),
+        ("dates", "earliest_filing"): F.date_format(F.min(filed), "yyyyMMdd"),
+        ("dates", "latest_filing"): F.date_format(F.max(filed), "yyyyMMdd"),
+    }
+    keys = [*_GROUPED, "utility_name"]
+    values = [value.cast("double").alias(f"{section} {metric}") for (section, metric), value in of_all.items()]
+    grouped = cases.groupingSets([[], *[[k] for k in keys]], *keys).agg(
+        F.grouping_id().alias("set"), F.count("*").cast("double").alias("cnt"), *values)
+
+    def row(section: str, key: Column, metric: str, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), key.cast("string").alias("key"), F.lit(metric).alias("metric"),
+                        value.cast("double").alias("value"))
+
+    none = F.lit(None)
+    # The bit of a key is 0 where rows are grouped by it.
+    every = (1 << len(keys)) - 1
+    set_of = {k: every - (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
+    total = F.array(row("total", none, "cases", c("cnt")),
+                    *[row(section, none, metric, c(f"`{section} {metric}`")) for section, metric in of_all])
+    names = F.array(row("total", none, "unique_utilities", F.when(c("utility_name").isNotNull(), 1.0).otherwise(0.0)))
+    rows = F.when(c("set") == every, total).when(c("set") == set_of["utility_name"], names)
+    for k in _GROUPED:
+        rows = rows.when(c("set") == set_of[k], F.array(row(f"by_{k}", c(k), "cases", c("cnt"))))
+    return grouped.select(F.inline(rows)).groupBy("section", "key", "metric").agg(F.sum("value").alias("value"))
+
+
+def store_statistics(cases: DataFrame, documents: DataFrame, operations: DataFrame, links: DataFrame, emissions: DataFrame,
+                     capacity: DataFrame, impacts: DataFrame) -> DataFrame:
+    """Statistics of all tables, each read once, in the form of `case_statistics`."""
+    counted = {
+        "documents": (documents, None), "utility_operations": (operations, "unique_eia_utilities"),
+        "eia_links": (links, "linked_utilities"), "emissions_records": (emissions, None),
+        "capacity_records": (capacity, None), "impact_records": (impacts, None),
+    }
+    out = case_statistics(cases)
+    for name, (df, distinct) in counted.items():
+        section = "documents" if name == "documents" else "enrichment"
+        found = df.agg(F.count("*").alias("n"), (F.count_distinct("eia_utility_id") if distinct else F.lit(0)).alias("ids"))
+        metrics = [F.struct(F.lit(name).alias("metric"), c("n").cast("double").alias("value"))]
+        if distinct:
+            metrics.append(F.struct(F.lit(distinct).alias("metric"), c("ids").cast("double").alias("value")))
+        out = out.unionByName(found.select(F.inline(F.array(*metrics))).select(
+            F.lit(section).alias("section"), F.lit(None).cast("string").alias("key"), "metric", "value"))
+    return out
+
+
 # --- overview, utilities, states -----------------------------------------------------
 
 def kpi_overview(cases: DataFrame) -> DataFrame:

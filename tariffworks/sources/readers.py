@@ -13,32 +13,31 @@ from tariffworks.functions.scores import revenue_per_customer, score_emissions,
 from tariffworks.functions.text import safe_float, safe_int, safe_str
 from tariffworks.schemas import RAW_RECORD
 
-CORRUPT = "_corrupt_record"
-
-
 def read_raw_json(spark: SparkSession, path: str, source: str | None = None
                   ) -> tuple[DataFrame, DataFrame]:
-    """(records, malformed): files that hold an array of records or one record.
+    """(records, rejects): files that hold an array of records or one record.
 
-    A file that is not JSON is set aside and does not stop the read.  ``seq``
-    orders the records: by file, then by place in the file.
+    Files become variants, so that arrays, single records and files that are no JSON need no schema of
+    their own.  Rejects (file, place, reason, text) hold malformed files and entries that are no
+    records, which do not stop the read.  ``seq`` orders the records: by file, then by place in the file.
     """
-    schema = T.StructType([*RAW_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("multiLine", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .withColumn("file", F.col("_metadata.file_path"))
-        .withColumn("place", F.monotonically_increasing_id())
+    files = (
+        spark.read.option("wholetext", True).text(path)
+        .select(F.col("_metadata.file_path").alias("file"), "value", F.try_parse_json("value").alias("parsed"))
     )
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark does not read the corrupt column alone, so a parsed one goes with it.
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("file", "docket_number", CORRUPT)
-    ordered = good.withColumn("seq", F.struct("file", "place")).drop("file", "place")
+    entries = files.filter(F.col("parsed").isNotNull()).select(
+        "file", F.posexplode(F.coalesce(
+            F.try_variant_get("parsed", "$", "array<variant>"), F.array("parsed"))).alias("place", "entry"))
+    is_record = F.coalesce(F.schema_of_variant("entry").startswith("OBJECT"), F.lit(False))
+    fields = [F.try_variant_get("entry", f"$.{f.name}", "string").alias(f.name) for f in RAW_RECORD.fields]
+    records = entries.filter(is_record).select(*fields, F.struct("file", "place").alias("seq"))
+    rejects = files.filter(F.col("parsed").isNull()).select(
+        "file", F.lit(None).cast("int").alias("place"), F.lit("malformed file").alias("reason"), F.col("value").alias("text")
+    ).unionByName(entries.filter(~is_record).select(
+        "file", "place", F.lit("not a record").alias("reason"), F.to_json("entry").alias("text")))
     if source:
-        ordered = ordered.withColumn("source", F.lit(source))
-    return ordered, bad
+        records = records.withColumn("source", F.lit(source))
+    return records, rejects
 
 
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
@@ -68,15 +67,6 @@ def find_by_words(headers: list[str], word_lists: list[list[str]]) -> str | None
     return None
 
 
-def merge_header_rows(parents: list[str], children: list[str]) -> list[str]:
-    """One name per column from two header rows; an empty parent repeats the one before."""
-    names, parent = [], ""
-    for top, sub in zip(parents, children):
-        parent = top or parent
-        names.append(f"{parent}.{sub}" if sub and parent else sub or top)
-    return names
-
-
 def _or_null(df: DataFrame, header: str | None, convert) -> Column:
     return convert(F.col(f"`{header}`")) if header else convert(F.lit(None).cast("string"))
 
@@ -86,16 +76,21 @@ def operations_rows(sheet: DataFrame, year: int | Column) -> DataFrame:
     found = {n: find_column(sheet.columns, s) for n, s in V.OPERATIONS_HEADERS.items()}
     if found["eia_utility_id"] is None:
         raise ValueError("no utility number column in the operations file")
+    year = F.lit(year) if isinstance(year, int) else year
+    return _typed_operations(sheet.select(year.alias("year"), *[_or_null(sheet, h, lambda x: x).alias(n) for n, h in found.items()]))
+
+
+def _typed_operations(sheet: DataFrame) -> DataFrame:
+    """Typed rows of a sheet with the names of our fields; rows without an id are dropped."""
     texts = {"utility_name", "state", "ownership_type"}
 
     def typed(name: str) -> Column:
         if name in texts:
-            return _or_null(sheet, found[name], safe_str)
+            return safe_str(F.col(name))
         whole = name == "eia_utility_id" or name.endswith("_customers")
-        return _or_null(sheet, found[name], safe_int if whole else safe_float)
+        return (safe_int if whole else safe_float)(F.col(name))
 
-    year = F.lit(year) if isinstance(year, int) else year
-    rows = sheet.select(year.alias("year"), *[typed(n).alias(n) for n in found])
+    rows = sheet.select("year", *[typed(n).alias(n) for n in V.OPERATIONS_HEADERS])
     return (
         rows.filter(F.coalesce("eia_utility_id", F.lit(0)) != 0)
         .withColumn(
@@ -106,25 +101,68 @@ def operations_rows(sheet: DataFrame, year: int | Column) -> DataFrame:
     )
 
 
-def read_operations_csv(spark: SparkSession, path: str, year: int) -> DataFrame:
-    return operations_rows(spark.read.option("header", True).csv(path), year)
+#: Columns a spreadsheet file has at most.
+MOST_COLUMNS = 100
+
 
+def _header_names(parents: Column, children: Column) -> Column:
+    """One name per column from two header rows; an empty parent repeats the one before."""
+    def step(acc: Column, pair: Column) -> Column:
+        parent = F.coalesce(F.nullif(pair["parent"], F.lit("")), acc["parent"])
+        name = F.when((pair["child"] != "") & (parent != ""), F.concat(parent, F.lit("."), pair["child"])) \
+            .when(pair["child"] != "", pair["child"]).otherwise(pair["parent"])
+        return F.struct(parent.alias("parent"), F.array_append(acc["names"], name).alias("names"))
 
-def read_two_row_header_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV whose first two rows name the columns.
+    start = F.struct(F.lit("").alias("parent"), F.array().cast("array<string>").alias("names"))
+    pairs = F.arrays_zip(parents.alias("parent"), children.alias("child"))
+    return F.aggregate(pairs, start, step, lambda acc: acc["names"])
 
-    Only these two rows are looked at here; the rest is read and renamed by Spark.
-    """
-    plain = spark.read.option("header", False).csv(path)
-    parents, children = [[v or "" for v in row] for row in plain.limit(2).collect()]
-    names = [n or f"column_{i}" for i, n in enumerate(merge_header_rows(parents, children))]
 
-    def equals(row: list[str]) -> Column:
-        same = [F.col(x).eqNullSafe(F.lit(v or None)) for x, v in zip(plain.columns, row)]
-        return reduce(lambda a, b: a & b, same)
+def _column_place(names: Column, spellings: list[str]) -> Column:
+    """Place (from 1) of the name equal to a spelling, else of one that contains or is contained; null if there is none."""
+    wanted = [w.strip().lower() for w in spellings]
+    equal = [F.nullif(F.array_position(names, w), F.lit(0).cast("bigint")) for w in wanted]
+    alike = [F.nullif(F.array_position(F.transform(names, lambda n, w=w: n.contains(w) | F.lit(w).contains(n)), True), F.lit(0).cast("bigint"))
+             for w in wanted]
+    return F.coalesce(*equal, *alike)
 
-    body = plain.filter(~(equals(parents) | equals(children)))
-    return body.toDF(*names)
+
+def read_operations_files(spark: SparkSession, path: str, year: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows, files without a usable header) of CSV files, each with a header of its own.
+
+    A file's header is its first row that names a utility's number or name, together with the next row if
+    that names customers or revenues.  Headers are found from the start of each file and turned into a
+    place for each field; rows of all files are then read by the places of their own file, in one
+    plan.  ``year`` may use the column ``file``.  Rows as in :func:`operations_rows`.
+    """
+    names = [f"c{i}" for i in range(MOST_COLUMNS)]
+    lines = (
+        spark.read.schema(", ".join(f"{n} string" for n in names)).option("header", False).csv(path)
+        .select(F.transform(F.array(*names), lambda x: F.coalesce(F.trim(x), F.lit(""))).alias("cells"),
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .withColumn("line", F.monotonically_increasing_id())
+    )
+    words = F.lower(F.array_join("cells", " "))
+    first = lines.filter(F.col("block") == 0)
+    header = first.filter(words.contains("utility") & (words.contains("number") | words.contains("name"))) \
+        .groupBy("file").agg(F.min("line").alias("header_line"), F.min_by("cells", "line").alias("parents"))
+    # A line number counts on within the start of a file.
+    below = first.filter(words.contains("customer") | words.contains("revenue")).select(
+        "file", (F.col("line") - 1).alias("header_line"), F.col("cells").alias("children"))
+    headers = header.join(below, ["file", "header_line"], "left").withColumn(
+        "names", F.when(F.col("children").isNull(), F.col("parents")).otherwise(_header_names(F.col("parents"), F.col("children"))))
+    # Empty cells behind the last name are no columns.
+    filled = F.array_max(F.transform(F.col("names"), lambda n, i: F.when(n != "", i + 1)))
+    named = headers.withColumn("names", F.transform(F.slice("names", F.lit(1), filled), lambda n: F.lower(F.trim(n))))
+    places = {f: _column_place(F.col("names"), spellings) for f, spellings in V.OPERATIONS_HEADERS.items()}
+    mapped = named.select(
+        "file", (F.col("header_line") + F.col("children").isNotNull().cast("int")).alias("last_header"),
+        *[place.cast("int").alias(f"at_{f}") for f, place in places.items()])
+    usable = mapped.filter(F.col("at_eia_utility_id").isNotNull())
+    rows = lines.join(usable, "file").filter((F.col("block") > 0) | (F.col("line") > F.col("last_header")))
+    sheet = rows.select(year.alias("year"), *[F.get("cells", F.col(f"at_{f}") - 1).alias(f) for f in V.OPERATIONS_HEADERS])
+    others = lines.select("file").distinct().join(usable.select("file"), "file", "left_anti")
+    return _typed_operations(sheet), others
 
 
 def emissions_rows(sheet: DataFrame, year: int | Column) -> DataFrame:

@@ -9,6 +9,7 @@ from tariffworks import fixed_values as V
 from tariffworks.fixed_aliases import ALIASES
 from tariffworks.functions import scores
 from tariffworks.operators import impact, linkage, quality, resolve
+from tariffworks import schemas
 from tariffworks.schemas import RATE_CASES
 from tariffworks.sources import readers
 
@@ -87,8 +88,6 @@ def test_links_and_impacts(spark):
 
 
 def test_headers():
-    assert readers.merge_header_rows(["", "RESIDENTIAL", "", "TOTAL"], ["Year", "Customers", "Sales (Megawatthours)", "Customers"]) == [
-        "Year", "RESIDENTIAL.Customers", "RESIDENTIAL.Sales (Megawatthours)", "TOTAL.Customers"]
     assert readers.find_column(["utility number ", "Name"], ["Utility Number"]) == "utility number "
     assert readers.find_by_words(["Plant Code", "Utility ID"], [["utility", "number"], ["utility", "id"]]) == "Utility ID"
 
@@ -97,12 +96,26 @@ def test_files(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"docket_number": "1"}, {"docket_number": "2"}]')
     (tmp_path / "b.json").write_text('{"docket_number": "3"}')
     (tmp_path / "c.json").write_text('{"docket_number": ')
+    (tmp_path / "d.json").write_text('[{"docket_number": 4.50, "more": {"x": [1]}}, 7, null, [1, "x"]]')
+    (tmp_path / "e.json").write_text('"text"')
+    (tmp_path / "f.json").write_text('[]')
     good, bad = readers.read_raw_json(spark, str(tmp_path), "oregon_puc")
-    assert sorted((r.docket_number, r.source) for r in good.collect()) == [("1", "oregon_puc"), ("2", "oregon_puc"), ("3", "oregon_puc")]
-    assert [r.file.rsplit("/", 1)[1] for r in bad.collect()] == ["c.json"]
-    sheet = tmp_path / "ops.csv"
-    sheet.write_text("Utility Number,Utility Name,RESIDENTIAL,,TOTAL\n,,Customers,Revenue (Thousands Dollars),Customers\n"
-                     "17,North Gas,\"1,200\",5.5,\"2,000\"\n.,none,1,1,1\n")
-    rows = readers.operations_rows(readers.read_two_row_header_csv(spark, str(sheet)), 2022).collect()
-    assert [(r.eia_utility_id, r.utility_name, r.residential_customers, r.residential_revenue, r.total_customers) for r in rows] == [
-        (17, "North Gas", 1200, 5.5, 2000)]
+    assert good.columns[:-1] == schemas.RAW_RECORD.names
+    assert [(r.docket_number, r.source) for r in good.orderBy("seq").collect()] == [(x, "oregon_puc") for x in ["1", "2", "3", "4.5"]]
+    assert sorted((r.file.rsplit("/", 1)[1], -1 if r.place is None else r.place, r.reason, r.text) for r in bad.collect()) == [
+        ("c.json", -1, "malformed file", '{"docket_number": '), ("d.json", 1, "not a record", "7"), ("d.json", 2, "not a record", "null"),
+        ("d.json", 3, "not a record", '[1,"x"]'), ("e.json", 0, "not a record", '"text"')]
+
+
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "ops_2020.csv").write_text(
+        "Sales 2020,,,\nUtility Number,Utility Name,RESIDENTIAL,,TOTAL,\n,,Customers,Revenue (Thousands Dollars),Customers,\n"
+        "17,North Gas,\"1,200\",5.5,\"2,000\",\n.,none,1,1,1\n")
+    (tmp_path / "ops_2021.csv").write_text("State,Total Customers,utility_number \nor,7,18\nwa,,19\n")
+    (tmp_path / "ops_2022.csv").write_text("Utility Name,State\nx,OR\n")
+    year = F.regexp_extract("file", r"ops_(\d+)", 1).cast("int")
+    rows, others = readers.read_operations_files(spark, str(tmp_path), year)
+    assert sorted((r.year, r.eia_utility_id, r.utility_name, r.state, r.residential_customers, r.residential_revenue, r.total_customers)
+                  for r in rows.collect()) == [
+        (2020, 17, "North Gas", None, 1200, 5.5, 2000), (2021, 18, None, "or", None, None, 7), (2021, 19, None, "wa", None, None, None)]
+    assert [r.file.rsplit("/", 1)[1] for r in others.collect()] == ["ops_2022.csv"]
