@@ -7,7 +7,9 @@ byte fallback) share their character's span; their ends are refined by the bytes
 before them decode to.  Byte offsets where tokens of both end cut them into groups.
 
 Neither vocabulary joins over a space that follows anything but white space, so texts are cut there
-and a task aligns each different piece of text once and remembers it.
+and a task aligns each different piece of text once and remembers it.  Neither joins a letter and a
+mark that follows it, nor a line feed and what comes before it, so a piece that has not been seen
+yet is put together from parts that have.
 
 Counts of linked ids over the whole corpus come in three steps.  Tasks reduce their documents in
 chunks of about `LINKS` links to one row with the chunk's different id pairs; these are summed over
@@ -24,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +36,13 @@ from tariffworks.llm.common import chunks, stored
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Links of a chunk, about; a longer document is a chunk of its own.
 LINKS = 1 << 20
-#: Pieces of text that a task remembers, twice at most, and how long they may be.
-REMEMBERED, LONGEST = 250_000, 200
+#: Pieces of text that a task remembers (twice at most), and their parts; and how long a piece remembered may be.
+REMEMBERED, LONGEST = 300_000, 200
 #: Pieces that are encoded together.
 TOGETHER = 2000
 _SPLIT = re.compile(r"(?<=\S)(?= )")
 _ODD_SPACE = re.compile(r"\s ")
+_PARTS = regex.compile(r"(?<=\p{L})(?=[^\w\s])|(?<=\S)(?=\n\S)")
 
 
 @cache
@@ -70,6 +74,8 @@ class Aligner:
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.n_b)))]
         self.a_size = np.array([len(t) for t in self.a_bytes])
         self.b_size = np.array([len(t) for t in self.b_bytes])
+        self.firsts: dict[str, tuple | None] = {}
+        self.later: dict[str, tuple | None] = {}
         self.recent: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
@@ -123,7 +129,7 @@ class Aligner:
             first = to
         return out
 
-    def _learn(self, pieces: list[str]) -> dict[str, tuple | None]:
+    def _encode(self, pieces: list[str]) -> dict[str, tuple | None]:
         out: dict[str, tuple | None] = {}
         # White space at the end of a piece may belong to what follows, so such pieces stand alone, after a letter.
         alone = [p for p in pieces if not p or p[-1].isspace()]
@@ -140,6 +146,28 @@ class Aligner:
             out[piece] = None if aligned is None else aligned[1]
         return out
 
+    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, tuple | None]]:
+        """Pieces not seen yet, put together from their first part and the later ones, which have no space before them."""
+        split = [_PARTS.split(p) for p in pieces]
+        firsts = {parts[0] for parts in split}.difference(self.firsts)
+        later = {part for parts in split for part in parts[1:]}.difference(self.later)
+        # A later part is encoded behind a letter, whose group is then left out.
+        self.firsts.update(self._encode(list(firsts)))
+        for part, found in self._encode(["x" + part for part in later]).items():
+            self.later[part[1:]] = found and (found[0].partition(b";")[2], found[1][4:], found[2] - 1, found[3] - 1)
+        for piece, (first, *rest) in zip(pieces, split, strict=True):
+            found = [self.firsts[first], *map(self.later.__getitem__, rest)]
+            if len(found) == 1:
+                yield piece, found[0]
+            elif None in found:
+                yield piece, None
+            else:
+                groups, links, n_a, n_b = zip(*found, strict=True)
+                yield piece, (b";".join(groups), b"".join(links), sum(n_a), sum(n_b))
+        for known in (self.firsts, self.later):
+            if len(known) > REMEMBERED:
+                known.clear()
+
     def of(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes, int, int] | None]:
         """Groups, links and numbers of tokens of each text; None for texts without tokens."""
         split = []
@@ -150,23 +178,25 @@ class Aligner:
                 split.append([p[1:] for p in _SPLIT.split(" " + text)])
             else:
                 split.append(text.split(" "))
-        unseen, passing = [], {}
+        unseen = []
         for piece in set().union(*split):
             if piece not in self.recent:
                 if piece in self.older:
                     self.recent[piece] = self.older[piece]
                 else:
                     unseen.append(piece)
-        for piece, aligned in self._learn(unseen).items():
-            (self.recent if len(piece) <= LONGEST else passing)[piece] = aligned
-        known = self.recent | passing if passing else self.recent
+        for piece, aligned in self._learn(unseen):
+            self.recent[piece] = aligned
         for pieces in split:
-            aligned = [known[p] for p in pieces]
+            aligned = [self.recent[p] for p in pieces]
             if not aligned or None in aligned:
                 yield None
             else:
                 groups, links, n_a, n_b = zip(*aligned, strict=True)
                 yield b";".join(groups), b"".join(links), sum(n_a), sum(n_b)
+        for piece in unseen:
+            if len(piece) > LONGEST:
+                del self.recent[piece]
         if len(self.recent) > REMEMBERED:
             self.older, self.recent = self.recent, {}
 

@@ -17,7 +17,7 @@ from tariffworks.llm import alignment
 from tests.llm.fixtures import documents, frame, words
 
 ALPHABET = ["a", "b", "The", " ", " ", "  ", "\n", "\t", "\r\n", "é", "日本", "🎉", "𐍈", "'s", " ", "　", "\x1c", "\x85",
-            "<|endoftext|>", "<s>", "▁", "12", ",", "...", "\x00", "ß", "​", "ﬁ"]
+            "<|endoftext|>", "<s>", "\n", ".", "²", "word", "'", "▁", "12", ",", "...", "\x00", "ß", "​", "ﬁ"]
 
 
 def odd_texts(n: int, seed: int) -> list[str]:
@@ -120,3 +120,4 @@ def test_pieces_are_forgotten(monkeypatch):
         texts = [words(random.Random(seed), 60), "y" * 300 + " z"]
         assert list(aligner.of(texts)) == list(fresh.of(texts))
         assert len(aligner.recent) <= 130 and not any(len(p) > alignment.LONGEST for p in aligner.recent)
+        assert len(aligner.firsts) <= 130 and len(aligner.later) <= 130
