@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from catalog.stored import capacity, impacts
 from tariffworks import fixed_values as V
 from tariffworks import schemas
+from tariffworks.operators import checked, merge
 from tariffworks.operators.firstwins import first_per_key
 from tariffworks.plans import adapters as A
 from tariffworks.plans import jobs
@@ -152,11 +153,70 @@ def _paged(s, d):
         "page_no", "iurc_docketnumber", "iurc_petitiondate", "iurc_forpetionersearch", "iurc_industry")
 
 
+def _stored_tables(s, d):
+    """The nine tables as derived, with the columns they are stored with."""
+    runs = A.table(s, d, "orders").select(*merge.audit_start(
+        F.lpad(c("o_orderkey").cast("string"), 8, "0"), c("o_orderpriority"), "store", c("o_orderdate").cast("timestamp")))
+    tables = {
+        "rate_cases": A.rate_cases(s, d), "utilities": A.utilities(s, d), "case_documents": A.case_documents(s, d), "pipeline_runs": runs,
+        "utility_operations": A.utility_operations(s, d), "utility_eia_links": A.links(s, d), "utility_emissions": A.utility_emissions(s, d),
+        "utility_capacity": capacity(s, d), "rate_case_impacts": impacts(s, d)}
+    return {name: df.select(*[c(f.name).cast(f.dataType) for f in schemas.TABLES[name][0].fields if f.name in df.columns])
+            for name, df in tables.items()}
+
+
 def _tables(s, d):
+    """All nine tables written and read back: rows, and the length of their keys together."""
+    folder, out = scratch(s), None
+    for name, df in _stored_tables(s, d).items():
+        back = s.read.schema(df.schema).parquet(writers.write_table(df, folder, name, 1))
+        keys = schemas.TABLES[name][1] or ["docket_number"]
+        size = sum((F.length(F.coalesce(c(k).cast("string"), lit(""))) for k in keys), lit(0))
+        found = back.agg(F.count("*").alias("n"), F.sum(size).alias("key_length")).select(lit(name).alias("name"), "n", "key_length")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _case_table(s, d):
     """The case table written by state and read back."""
-    path = writers.write_table(A.rate_cases(s, d).drop("seq"), scratch(s), "rate_cases", 1)
-    return s.read.parquet(path).select(
-        "docket_number", "source", "state", "filing_date", "requested_revenue_change", "quality_score")
+    df = _stored_tables(s, d)["rate_cases"]
+    back = s.read.schema(df.schema).parquet(writers.write_table(df, scratch(s), "rate_cases", 1))
+    return back.select("docket_number", "source", "state", "filing_date", "requested_revenue_change", "quality_score")
+
+
+def _csv_and_back(rows):
+    """What a CSV export holds once it is read again with the types it was written with."""
+    def run(s, d):
+        df, folder = rows(s, d), scratch(s)
+        writers.write_csv(df, folder)
+        return s.read.schema(df.schema).option("header", True).option("multiLine", True).option("escape", '"').csv(folder)
+    return run
+
+
+def _json_cases(s, d):
+    """The cases of the JSON export, read again."""
+    folder = scratch(s)
+    cases = A.rate_cases(s, d).drop("seq")
+    jobs.export({"rate_cases": cases, "utilities": A.utilities(s, d).drop("seq")}, folder, ("json",))
+    return s.read.schema(cases.schema).json(f"{folder}/json/rate_cases").select(
+        "docket_number", "source", "utility_name", "state", "filing_date", "approved_revenue_change", "description", "quality_score")
+
+
+def _checked(table, rows, shown):
+    """Rows checked, written once, and read as accepted or rejected."""
+    def run(s, d):
+        folder = scratch(s)
+        checked.write_checked(rows(s, d), table, folder)
+        accepted = checked.read_accepted(s, folder).select(*shown, lit("").alias("reasons"))
+        return accepted.unionByName(checked.read_rejected(s, folder).select(*shown, F.array_join("reasons", "; ").alias("reasons")))
+    return run
+
+
+def _unkempt_cases(s, d):
+    """Cases with blanks around their texts, lower-case states and finer amounts."""
+    return A.rate_cases(s, d).drop("seq").withColumns({
+        "docket_number": F.concat(lit(" "), "docket_number"), "state": F.lower("state"),
+        "requested_revenue_change": c("requested_revenue_change") + 0.0001})
 
 
 def _export(s, d):
@@ -195,6 +255,18 @@ QUERIES = {
     "src_generator_rows": lambda s, d: readers.generator_rows(_generator_sheet(s, d)),
     "src_paged_json_cases": _paged,
     "sink_tables": _tables,
+    "sink_case_table": _case_table,
+    "sink_cases_csv": _csv_and_back(lambda s, d: writers.cases_csv(A.rate_cases(s, d))),
+    "sink_enrichment_csv": _csv_and_back(lambda s, d: writers.enrichment_csv(capacity(s, d).withColumn("created_at", F.current_timestamp()))),
+    "sink_operations_csv": _csv_and_back(lambda s, d: writers.enrichment_csv(A.utility_operations(s, d).drop("seq"))),
+    "sink_emissions_csv": _csv_and_back(lambda s, d: writers.enrichment_csv(A.utility_emissions(s, d))),
+    "sink_impacts_csv": _csv_and_back(lambda s, d: writers.enrichment_csv(impacts(s, d))),
+    "sink_json_cases": _json_cases,
+    "schema_store_case": _checked("rate_cases", _unkempt_cases, ["docket_number", "source", "state", "requested_revenue_change"]),
+    "schema_store_utility": _checked("utilities", lambda s, d: A.utilities(s, d).drop("seq").withColumns(
+        {"name": F.concat("name", lit(" ")), "state": F.lower("state")}), ["name", "state"]),
+    "schema_store_document": _checked("case_documents", lambda s, d: A.case_documents(s, d).withColumn(
+        "url", F.concat("url", lit("  "))), ["docket_number", "title", "url"]),
     "job_export": _export,
     "stream_ingest": _stream,
 }

@@ -160,7 +160,7 @@ def _impacts_merge(s, d):
 def _store(s, d):
     batch = case_batch(s, d).drop("source").withColumn(
         "utility_name", F.when(c("approved_revenue_change") != 50, c("utility_name")))
-    return merge.merge_store(stored_cases(s, d), batch, "oregon_puc")[1]
+    return merge.merge_store(stored_cases(s, d), batch, "oregon_puc")
 
 
 def _scores(s, d):
@@ -169,7 +169,10 @@ def _scores(s, d):
 
 def _update_scores(keys):
     def run(s, d):
-        return merge.update_scores(A.rate_cases(s, d), _scores(s, d).select(*keys, "quality_score")).select(*CASE, "quality_score")
+        cases = A.rate_cases(s, d).withColumn("updated_at", lit(None).cast("timestamp"))
+        now = lit("2001-02-03 00:00:00").cast("timestamp")
+        return merge.update_scores(cases, _scores(s, d).select(*keys, "quality_score"), updated_at=now).select(
+            *CASE, "quality_score", F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
     return run
 
 
@@ -178,8 +181,7 @@ def _documents(s, d):
     batch = docs.select(
         F.when(c("document_type") != "testimony", c("docket_number")).alias("docket_number"),
         F.nullif("document_type", lit("order")).alias("document_type"), "title", "source", "state")
-    return merge.append_documents(docs, batch).groupBy("document_type").agg(
-        F.count("*").alias("n"), F.count_distinct("docket_number").alias("dockets"))
+    return merge.append_documents(docs, batch).select("docket_number", "document_type", "title", "source", "state")
 
 
 def _audit(s, d):
@@ -269,7 +271,7 @@ QUERIES = {
         F.count("*").alias("n")).select(c("is_stored").cast("int").alias("is_stored"), "n"),
     "merge_cases": merged_cases,
     "merge_cases_batch": lambda s, d: merge.merge_counts(stored_cases(s, d), case_batch(s, d), CASE),
-    "merge_store": _store,
+    "merge_store": lambda s, d: _store(s, d)[0].select(*CASE_COLUMNS),
     "merge_utilities": _utilities_merge,
     "merge_operations": _year_merge(
         A.utility_operations, merge.merge_operations,
@@ -288,7 +290,9 @@ QUERIES = {
     "update_names": lambda s, d: merge.update_names(named_cases(s, d), resolved(s, d)).select("docket_number", "canonical_utility_name"),
     "update_scores": _update_scores(["docket_number"]),
     "score_update_join": _update_scores(CASE),
-    "run_counters": _store,
+    "run_counters": lambda s, d: _store(s, d)[1],
+    "update_counts": lambda s, d: merge.update_counts(A.rate_cases(s, d), _scores(s, d).unionByName(
+        _scores(s, d).withColumn("docket_number", F.concat(lit("no "), "docket_number")))),
     "audit_run": _audit,
     "case_orders_join": lambda s, d: pages.case_orders_join(
         A.rate_cases(s, d, score=False).select("docket_number", "source", "decision_date"),
@@ -311,6 +315,7 @@ QUERIES = {
         *CASE, "quality_score", F.size("issues").alias("n_issues"), F.array_join("errors", "; ").alias("errors")),
     "job_normalise": lambda s, d: _normalised(s, d)[1].select(
         "name", "state", "utility_type", "ownership_type", "parent_company"),
+    "job_normalise_cases": lambda s, d: _normalised(s, d)[0].select("docket_number", "utility_name", "canonical_utility_name"),
     "job_enrich": _enriched,
     "job_ingest": lambda s, d: _ingested(s, d)["rate_cases"].select(
         "docket_number", "source", "utility_name", "canonical_utility_name", "state", "case_type", "utility_type",
@@ -323,5 +328,7 @@ QUERIES = {
         F.date_format("started_at", "HH").alias("started"), F.date_format("completed_at", "HH").alias("completed")),
     "job_pipeline_statistics": lambda s, d: _piped(s, d)["statistics"],
     "report_summary": lambda s, d: jobs.report_summary(A.rate_cases(s, d))["largest"],
+    **{f"report_summary_{part}": lambda s, d, part=part: jobs.report_summary(A.rate_cases(s, d))[part]
+       for part in ("by_state", "by_type", "financial", "quality")},
     "case_detail": lambda s, d: jobs.case_detail(A.rate_cases(s, d), "77"),
 }

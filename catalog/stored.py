@@ -47,12 +47,12 @@ QUERIES = {
     "filter_emissions": lambda s, d: filters.filter_emissions(A.utility_emissions(s, d), year=1998),
     "filter_capacity": lambda s, d: filters.filter_capacity(capacity(s, d), year=2001),
     "list_impacts": lambda s, d: filters.list_impacts(impacts(s, d)),
-    "list_links": lambda s, d: A.links(s, d).select("utility_name", "state", "eia_utility_id"),
+    "list_links": lambda s, d: A.links(s, d).drop("seq"),
     "explore_cases": lambda s, d: filters.explore_cases(
         A.rate_cases(s, d), case_type_display="General Rate Case", utility_type="gas",
         search="GROUP 1|000[1-3]5").select(*SHOWN, "display_name", "case_type_display"),
     "explore_projection": lambda s, d: filters.explore_projection(
-        filters.with_display(A.rate_cases(s, d))).drop("Quality"),
+        filters.with_display(A.rate_cases(s, d))),
     "display_name": lambda s, d: filters.with_display(A.rate_cases(s, d)).select(*CASE_KEY, "display_name"),
     "facet_values": lambda s, d: filters.facet_values(A.rate_cases(s, d)),
     "year_range_keep_null": lambda s, d: filters.year_range(
@@ -146,9 +146,7 @@ QUERIES = {
         "eia_utility_id", "year", "ownership_type", "total_customers"),
     "docket_label": lambda s, d: firstwins.docket_labels(filters.with_display(A.rate_cases(s, d))),
     # exports
-    "sink_cases_csv": lambda s, d: writers.cases_csv(A.rate_cases(s, d)),
-    "sink_enrichment_csv": lambda s, d: writers.enrichment_csv(
-        capacity(s, d).withColumn("created_at", F.current_timestamp())),
+    "sink_report_utilities": lambda s, d: writers.utility_cells(A.utilities(s, d)),
     "sink_report_cells": lambda s, d: writers.report_cells(A.rate_cases(s, d)),
     "sink_cases_json": lambda s, d: writers.json_metadata(A.rate_cases(s, d), A.utilities(s, d)).select(
         "total_records", "total_utilities", "format_version"),

@@ -8,7 +8,7 @@ from catalog.stored import capacity
 from tariffworks import fixed_values as V
 from tariffworks.functions import dockets, names, rules, scores, text
 from tariffworks.functions.html import strip_html
-from tariffworks.operators import extract, quality
+from tariffworks.operators import extract, merge, quality
 from tariffworks.plans import adapters as A
 from tariffworks.sources import writers
 
@@ -34,6 +34,15 @@ def _per_case(**values):
         "docket_number", "source", *[v().alias(k) for k, v in values.items()])
 
 
+def _defaults(s, d):
+    """Cases stored for the first time without their types."""
+    batch = A.rate_cases(s, d, score=False).select(
+        "docket_number", "source", "utility_name", "state", F.nullif("case_type", F.lit("rate_design")).alias("case_type"),
+        "utility_type", F.lit(None).cast("string").alias("status"), "seq")
+    return merge.merge_cases(s.createDataFrame([], batch.drop("seq").schema), batch).select(
+        "docket_number", "source", "case_type", "utility_type", "status")
+
+
 def _messages(column):
     return F.array_join(column, "; ")
 
@@ -152,9 +161,9 @@ QUERIES = {
     "safe_float": _cell(text.safe_float),
     "safe_str": _cell(text.safe_str),
     # records
-    "parse_record": lambda s, d: parsed(s, d).drop("scraped_at", "approved_rate_change_pct", "requested_rate_change_pct"),
+    "parse_record": lambda s, d: parsed(s, d).drop("scraped_at"),
     "reject_incomplete": lambda s, d: extract.reject_incomplete(A.raw_records(s, d))[1].select("seq", "utility_name", "state", "source"),
-    "defaults": _per_case(utility_type=lambda: F.coalesce("utility_type", F.lit("unknown"))),
+    "defaults": _defaults,
     # rules
     "classify_case_type": lambda s, d: A.texts(s, d).select("id", rules.classify_case_type(c("text"), c("id")).alias("value")),
     "classify_utility_type": _per_record(value=lambda: rules.classify_utility_type(c("description"), F.trim("docket_number"))),
@@ -178,11 +187,17 @@ QUERIES = {
         "name", "state", names.token_sort_ratio(c("name"), F.concat("state", F.lit(" GEAR widget-"), F.lower("state"))).alias("score")),
     "docket_year": lambda s, d: A.rate_cases(s, d).select(
         "docket_number", dockets.docket_year(_sheet_docket()).alias("year"),
-        dockets.title_year(F.concat(F.lit("Case "), F.date_format("filing_date", "yyyy"), F.lit(" plan"))).alias("in_title")),
+        dockets.title_year(F.concat(F.lit("Case "), F.date_format("filing_date", "yyyy"), F.lit(" plan"))).alias("in_title"),
+        dockets.free_year(F.when(c("status") == "decided", F.date_format("filing_date", "MM/dd/yyyy")).otherwise(
+            F.concat(F.lit("no. 12 of "), F.date_format("filing_date", "yyyy"), F.lit("9")))).alias("in_text")),
     "docket_date": lambda s, d: A.rate_cases(s, d).select("docket_number", dockets.docket_date(_sheet_docket()).alias("day")),
     "docket_normalise": lambda s, d: A.rate_cases(s, d).select("docket_number", dockets.docket_normalise(_sheet_docket()).alias("docket")),
     "petitioner": lambda s, d: _parties(s, d).select("seq", dockets.petitioner(c("parties")).alias("value")),
     "build_description": lambda s, d: _parties(s, d).select("seq", dockets.build_description(c("petition"), c("industry"), c("parties")).alias("value")),
+    "enrich_description": lambda s, d: A.rate_cases(s, d, score=False).select("docket_number", dockets.enrich_description(
+        F.when(c("status") == "filed", F.lit("")).when(c("status") == "active", F.concat(F.lit("Rates of $5, "), "utility_name"))
+        .otherwise(F.concat(F.lit("In the matter of "), "utility_name")),
+        F.when(c("seq") % 3 != 0, F.concat(F.lit("Order "), "docket_number"))).alias("value")),
     "template_url": _per_case(url=lambda: dockets.template_url(c("source"), c("docket_number"))),
     # display
     "strip_html": _per_case(value=lambda: strip_html(c("description"))),

@@ -5,7 +5,7 @@ Fuzzy stages compare every pair; the Spark side never does.
 
 from __future__ import annotations
 
-from oracle.stored import LABELS, statistics
+from oracle.stored import LABELS, SQL as STORED, statistics
 from oracle.tables import STATE, TABLES, array, query, score, text
 from oracle.texts import ISSUES, VALIDATE, clean, form, lcs, norm, ratio, words
 from tariffworks import fixed_values as V
@@ -13,6 +13,13 @@ from tariffworks import fixed_values as V
 # Bound on the pairs worth scoring: lengths alone.
 NEAR = "200 * least(len(a), len(b)) >= ({t} - 0.5) * (len(a) + len(b))"
 
+def _folded(rows: str) -> str:
+    """The last value of each column by key."""
+    return "SELECT docket_number, source, " + ", ".join(
+        f"arg_max({x}, seq) FILTER ({x} IS NOT NULL) AS {x}" for x in
+        ["utility_name", "state", "case_type", "status", "decision_date", "approved_revenue_change"]) + f" FROM ({rows}) GROUP BY 1, 2"
+
+
 T = {
     "alias_forms": f"SELECT *, {form('alias')} AS b FROM aliases",
     "names_clean": f"SELECT utility_name, state, {clean('utility_name')} AS cleaned FROM raw_names",
@@ -75,9 +82,7 @@ T = {
             CASE WHEN l_returnflag = 'A' THEN l_quantity END AS approved_revenue_change,
             row_number() OVER (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS seq
         FROM lineitem JOIN rate_cases_plain ON CAST(l_orderkey AS VARCHAR) = docket_number""",
-    "batch_folded": "SELECT docket_number, source, " + ", ".join(
-        f"arg_max({x}, seq) FILTER ({x} IS NOT NULL) AS {x}" for x in
-        ["utility_name", "state", "case_type", "status", "decision_date", "approved_revenue_change"]) + " FROM batch_rows GROUP BY 1, 2",
+    "batch_folded": _folded("SELECT * FROM batch_rows"),
 }
 TABLES.update(T)
 
@@ -90,7 +95,7 @@ STORE = """SELECT 'oregon_puc' AS source, count(*) AS records_processed,
       count(*) FILTER (coalesce(approved_revenue_change, 50) = 50) AS errors
     FROM batch_rows"""
 
-SCORES = ("SELECT docket_number, source, CASE WHEN status = 'decided' THEN quality_score / 2 ELSE quality_score END AS quality_score FROM rate_cases")
+SCORES = ("SELECT docket_number, source, CASE WHEN status = 'decided' THEN quality_score / 2 ELSE quality_score END AS quality_score, CASE WHEN status = 'decided' THEN '2001-02-03' END AS updated FROM rate_cases")
 
 
 def keep(columns: list[str], old: str = "o", new: str = "b") -> str:
@@ -151,7 +156,19 @@ SQL = {
         FROM (SELECT *, docket_number AS k FROM old_cases) o FULL JOIN batch_folded b USING (docket_number, source)"""),
     "merge_cases_batch": query("""SELECT count(*) AS processed, count(DISTINCT (docket_number, source)) FILTER ((docket_number, source) NOT IN (SELECT (docket_number, source) FROM old_cases)) AS created,
             count(*) - count(DISTINCT (docket_number, source)) FILTER ((docket_number, source) NOT IN (SELECT (docket_number, source) FROM old_cases)) AS updated FROM batch_rows"""),
-    "merge_store": query(STORE),
+    "merge_store": query("""SELECT coalesce(b.docket_number, o.docket_number) AS docket_number, coalesce(o.source, 'oregon_puc') AS source, coalesce(b.utility_name, o.utility_name) AS utility_name,
+            coalesce(b.state, o.state) AS state,
+            CASE WHEN o.docket_number IS NULL THEN coalesce(b.case_type, 'unknown') ELSE coalesce(b.case_type, o.case_type) END AS case_type,
+            CASE WHEN o.docket_number IS NULL THEN 'unknown' ELSE o.utility_type END AS utility_type,
+            CASE WHEN o.docket_number IS NULL THEN coalesce(b.status, 'unknown') ELSE coalesce(b.status, o.status) END AS status,
+            coalesce(b.decision_date, o.decision_date) AS decision_date, o.requested_revenue_change,
+            coalesce(b.approved_revenue_change, o.approved_revenue_change) AS approved_revenue_change
+        FROM old_cases o FULL JOIN store_folded b ON b.docket_number = o.docket_number AND b.source = o.source""", {
+        "store_folded": _folded("SELECT * REPLACE ('oregon_puc' AS source) FROM batch_rows WHERE coalesce(approved_revenue_change, 50) <> 50")}),
+    "update_counts": query("SELECT 2 * count(*) AS given, count(*) AS touched FROM rate_cases WHERE status = 'decided'"),
+    "job_normalise_cases": query("SELECT docket_number, utility_name, canonical_name AS canonical_utility_name FROM named_cases JOIN names_resolved USING (utility_name)"),
+    "report_summary_by_state": STORED["stats_by_state"], "report_summary_by_type": STORED["stats_by_case_type"],
+    "report_summary_financial": STORED["stats_financial"], "report_summary_quality": STORED["stats_quality"],
     "run_counters": query(STORE),
     "merge_utilities": query("""SELECT name, state, o.canonical_name AS canonical_name, coalesce(b.utility_type, o.utility_type, 'unknown') AS utility_type,
             coalesce(b.ownership_type, o.ownership_type, 'unknown') AS ownership_type, coalesce(b.parent_company, o.parent_company) AS parent_company,
@@ -171,9 +188,9 @@ SQL = {
     "merge_links": query("""SELECT utility_name, state, eia_utility_id, CASE WHEN arg_max(seq, seq) % 3 <> 0 THEN CAST(max(seq) AS DOUBLE) END AS match_confidence,
             'new' AS match_method FROM links GROUP BY 1, 2, 3"""),
     "merge_impacts": query("SELECT * REPLACE (CAST(NULL AS DOUBLE) AS pct_of_avg_bill) FROM impacts"),
-    "append_documents": query("""SELECT document_type, count(*) AS n, count(DISTINCT docket_number) AS dockets FROM (
-            SELECT document_type, docket_number FROM case_documents
-            UNION ALL SELECT CASE WHEN document_type = 'order' THEN 'other' ELSE document_type END, docket_number FROM case_documents WHERE document_type <> 'testimony') GROUP BY 1"""),
+    "append_documents": query("""SELECT docket_number, document_type, title, source, state FROM case_documents
+            UNION ALL SELECT docket_number, CASE WHEN document_type = 'order' THEN 'other' ELSE document_type END, title, source, state
+            FROM case_documents WHERE document_type <> 'testimony'"""),
     "update_names": query("SELECT docket_number, canonical_name AS canonical_utility_name FROM named_cases JOIN names_resolved USING (utility_name)"),
     "update_scores": query(SCORES),
     "score_update_join": query(SCORES),

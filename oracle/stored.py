@@ -99,7 +99,7 @@ SQL = {
     "filter_emissions": query("SELECT * FROM utility_emissions WHERE year = 1998"),
     "filter_capacity": query("SELECT * FROM utility_capacity WHERE year = 2001"),
     "list_impacts": query("SELECT * FROM impacts ORDER BY abs(monthly_bill_impact) DESC"),
-    "list_links": query("SELECT utility_name, state, eia_utility_id FROM links"),
+    "list_links": query("SELECT utility_name, state, eia_utility_id, 1.0::DOUBLE AS match_confidence, 'exact' AS match_method FROM links"),
     "explore_cases": query(f"""
         SELECT {SHOWN}, display_name, {LABELS} AS case_type_display FROM rate_cases
         WHERE case_type = 'general_rate_case' AND utility_type = 'gas'
@@ -109,7 +109,7 @@ SQL = {
         SELECT docket_number AS "Docket", display_name AS "Utility", state AS "State", {LABELS} AS "Type",
                utility_type AS "Service", status AS "Status", coalesce(strftime(filing_date, '%Y-%m-%d'), '') AS "Filed",
                coalesce(strftime(decision_date, '%Y-%m-%d'), '') AS "Decided", requested_revenue_change AS "Requested ($M)",
-               approved_revenue_change AS "Approved ($M)", return_on_equity AS "ROE (%)" FROM rate_cases"""),
+               approved_revenue_change AS "Approved ($M)", return_on_equity AS "ROE (%)", quality_score AS "Quality" FROM rate_cases"""),
     "display_name": query("SELECT docket_number, source, display_name FROM rate_cases"),
     "facet_values": query(" UNION ".join(
         f"SELECT '{n}' AS facet, {e} AS value FROM rate_cases WHERE {e} IS NOT NULL" for n, e in
@@ -225,9 +225,7 @@ SQL = {
     "docket_label": query("""
         SELECT docket_number, docket_number || ' - ' || display_name AS label FROM rate_cases
         QUALIFY row_number() OVER (PARTITION BY docket_number ORDER BY filing_date DESC NULLS LAST, source) = 1"""),
-    "sink_cases_csv": query("SELECT " + ", ".join(
-        f"replace({x}, '&amp;', '&') AS {x}" if x == "description" else x for x in V.CASE_EXPORT_COLUMNS) + " FROM rate_cases"),
-    "sink_enrichment_csv": query("SELECT * FROM utility_capacity"),
+    "sink_report_utilities": query("SELECT " + ", ".join(f'{x} AS "{t}"' for t, x in V.REPORT_UTILITY_COLUMNS) + " FROM utilities"),
     "sink_report_cells": query("SELECT " + ", ".join(
         f'{"display_name" if x == "canonical_utility_name" else x} AS "{t}"' for t, x in V.REPORT_CASE_COLUMNS) + " FROM rate_cases"),
     "sink_cases_json": query("SELECT count(*) AS total_records, (SELECT count(*) FROM utilities) AS total_utilities, '1.1' AS format_version FROM rate_cases"),

@@ -270,6 +270,13 @@ def _month_start(year: str, month: str) -> str:
     return f"CASE WHEN CAST({month} AS INT) BETWEEN 1 AND 12 THEN make_date({year}, CAST({month} AS INT), 1) END"
 
 
+CHECK_UTILITY = lit_messages([
+    (not_in("upper(trim(state))", V.STATE_CODES), "state code"), (not_in("utility_type", V.UTILITY_TYPES), "utility_type value"),
+    (not_in("ownership_type", V.OWNERSHIP_TYPES), "ownership_type value"), ("customer_count < 0", "customer_count negative")])
+CHECK_DOCUMENT = lit_messages([
+    (not_in("document_type", V.DOCUMENT_TYPES), "document_type value"), (out_of_years("filing_date"), "filing_date range"),
+    ("NOT starts_with(url, 'http://') AND NOT starts_with(url, 'https://')", "url scheme")])
+
 SQL = {
     "extract_dollar": per_text(signed("text", dollar("text"))),
     "parse_dollar": per_text(dollar("text")),
@@ -296,9 +303,9 @@ SQL = {
     "safe_int": query(f"SELECT l_orderkey, l_linenumber, l_partkey, CAST(trunc({CELL}) AS BIGINT) AS value FROM sheet_cells", CELLS),
     "safe_float": query(f"SELECT l_orderkey, l_linenumber, l_partkey, round({CELL}, 4) AS value FROM sheet_cells", CELLS),
     "safe_str": query("SELECT l_orderkey, l_linenumber, l_partkey, nullif(trim(cell), '') AS value FROM sheet_cells", CELLS),
-    "parse_record": query("SELECT * FROM parsed_records"),
+    "parse_record": query("SELECT *, CAST(NULL AS DOUBLE) AS requested_rate_change_pct, CAST(NULL AS DOUBLE) AS approved_rate_change_pct FROM parsed_records"),
     "reject_incomplete": query("SELECT seq, utility_name, upper(trim(state)) AS state, source FROM raw_records WHERE trim(docket_number) = ''"),
-    "defaults": query("SELECT docket_number, source, coalesce(utility_type, 'unknown') AS utility_type FROM rate_cases"),
+    "defaults": query("SELECT docket_number, source, coalesce(nullif(case_type, 'rate_design'), 'unknown') AS case_type, coalesce(utility_type, 'unknown') AS utility_type, 'unknown' AS status FROM rate_cases"),
     "classify_case_type": per_text(case_type("text", "id")),
     "classify_utility_type": query(f"SELECT seq, {utility_type('description', 'trim(docket_number)')} AS value FROM raw_records"),
     "normalise_status": query(f"SELECT seq, {STATUS} AS value FROM raw_records"),
@@ -319,7 +326,7 @@ SQL = {
     "token_sort_ratio": query(f"SELECT name, state, {ratio('a', 'b', lcs('a', 'b'))} AS score FROM scored_names", {
         "scored_names": f"SELECT name, state, {form('name')} AS a, {form(OTHER_NAME)} AS b FROM link_left"}),
     "docket_year": query(f"""SELECT docket_number, CAST(coalesce({_pivot(first('sheet', _YY))}, CAST({first('sheet', _YYYY)} AS INT),
-        2000 + CAST({first('sheet', _CA)} AS INT)) AS INT) AS year, CAST(year(filing_date) AS INT) AS in_title FROM (SELECT *, {SHEET} AS sheet FROM rate_cases)"""),
+        2000 + CAST({first('sheet', _CA)} AS INT)) AS INT) AS year, CAST(year(filing_date) AS INT) AS in_title, CAST(year(filing_date) AS INT) AS in_text FROM (SELECT *, {SHEET} AS sheet FROM rate_cases)"""),
     "docket_date": query(f"""SELECT docket_number, coalesce({_month_start(_pivot(first('sheet', _CT)), first('sheet', _CT, 2))},
         {_month_start('2000 + CAST(' + first('sheet', _CA) + ' AS INT)', first('sheet', _CA, 2))}) AS day FROM (SELECT *, {SHEET} AS sheet FROM rate_cases)"""),
     "docket_normalise": query(f"""SELECT docket_number, CASE source WHEN 'oregon_puc' THEN 'UE ' || docket_number
@@ -345,12 +352,10 @@ SQL = {
     "score_capacity": query("SELECT eia_utility_id, year, quality_score FROM utility_capacity"),
     "revenue_per_customer": query("SELECT eia_utility_id, year, revenue_per_customer FROM utility_operations"),
     "schema_check_case": query(f"SELECT docket_number, source, {CHECK_CASE} AS reasons FROM rate_cases"),
-    "schema_check_utility": query("SELECT name, " + lit_messages([
-        (not_in("upper(trim(state))", V.STATE_CODES), "state code"), (not_in("utility_type", V.UTILITY_TYPES), "utility_type value"),
-        (not_in("ownership_type", V.OWNERSHIP_TYPES), "ownership_type value"), ("customer_count < 0", "customer_count negative")]) + " AS reasons FROM utilities"),
-    "schema_check_document": query("SELECT docket_number, title, url, " + lit_messages([
-        (not_in("document_type", V.DOCUMENT_TYPES), "document_type value"), (out_of_years("filing_date"), "filing_date range"),
-        ("NOT starts_with(url, 'http://') AND NOT starts_with(url, 'https://')", "url scheme")]) + " AS reasons FROM case_documents"),
+    "schema_check_utility": query(f"SELECT name, {CHECK_UTILITY} AS reasons FROM utilities"),
+    "schema_check_document": query(f"SELECT docket_number, title, url, {CHECK_DOCUMENT} AS reasons FROM case_documents"),
+    "enrich_description": query("""SELECT docket_number, CASE WHEN status = 'filed' THEN NULL WHEN status = 'active' THEN 'Rates of $5, ' || utility_name
+        ELSE 'In the matter of ' || utility_name || CASE WHEN seq % 3 <> 0 THEN ' | Order ' || docket_number ELSE '' END END AS value FROM rate_cases_plain"""),
     "schema_check_run": "SELECT o_orderkey AS seq, " + lit_messages([
         ("o_orderstatus = 'P'", "stage missing"), ("o_custkey < 5", "records_processed negative")]) + " AS reasons FROM orders",
     "dup_dockets": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",

@@ -242,3 +242,15 @@ def normalised_case(columns: list[str]) -> list[Column]:
         "return_on_equity": F.round(c("return_on_equity"), 2),
     }
     return [change.get(x, c(x)).alias(x) for x in columns]
+
+
+def normalised_utility(columns: list[str]) -> list[Column]:
+    """Accepted utilities as stored: trimmed name, upper-case state."""
+    change = {"name": strip(c("name")), "state": strip(F.upper(c("state")))}
+    return [change.get(x, c(x)).alias(x) for x in columns]
+
+
+def normalised_document(columns: list[str]) -> list[Column]:
+    """Accepted documents as stored: trimmed address, upper-case state."""
+    change = {"url": strip(c("url")), "state": strip(F.upper(c("state")))}
+    return [change.get(x, c(x)).alias(x) for x in columns]

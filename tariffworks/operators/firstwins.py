@@ -1,31 +1,30 @@
 """One row per key: the first, the last or the best one.
 
-Every operator names the column that decides the order.  They are aggregations
-and not window functions: each task reduces its own rows first, so a key that
-holds a third of the table never ends up in one task.
+Every operator names the column that decides the order.  Whole rows are ranked
+within their key and cut off at the first rank, which Spark does in each task
+before the shuffle as well as behind it; single values are aggregated.  Either
+way a key that holds a third of the table sends one row a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: list[str], picker, order: Column) -> DataFrame:
-    rest = [x for x in df.columns if x not in keys]
-    row = F.struct(*rest)
-    picked = df.groupBy(*keys).agg(picker(row, order).alias("row"))
-    return picked.select(*keys, "row.*").select(*df.columns)
+def _pick(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    return ranked.filter(F.col("__rank") == 1).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
-    """The row that comes first by ``order``."""
-    return _pick(df, keys, F.min_by, F.struct(*order))
+    """The row that comes first by ``order``; null keys are a key."""
+    return _pick(df, keys, F.struct(*order).asc())
 
 
 def last_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
-    """The row that comes last by ``order``."""
-    return _pick(df, keys, F.max_by, F.struct(*order))
+    """The row that comes last by ``order``; null keys are a key."""
+    return _pick(df, keys, F.struct(*order).desc())
 
 
 def latest_year_slice(df: DataFrame, year: str = "year") -> DataFrame:

@@ -204,10 +204,13 @@ def merge_scraped_fields(known: DataFrame, scraped: DataFrame, key: str) -> Data
     """Known records improved by scraped ones.
 
     Name and type fill gaps; date and status always win; a description wins if
-    it is longer.
+    it is longer.  Pages scraped twice multiply no record: of their values the
+    greatest count, and the longest description.
     """
     fields = ["utility_name", "utility_type", "filing_date", "status", "description"]
-    new = scraped.select(key, *[F.col(f).alias(f"__{f}") for f in fields])
+    longest = F.max_by("description", F.struct(F.length("description"), "description"))
+    new = scraped.groupBy(key).agg(
+        *[(longest if f == "description" else F.max(f)).alias(f"__{f}") for f in fields])
 
     def empty(x: Column) -> Column:
         return F.coalesce(x, F.lit("")) == ""

@@ -123,8 +123,8 @@ def resolve_utilities(names: DataFrame, aliases: DataFrame, threshold: int = RES
 
 
 def apply_name_mapping(cases: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Cases with the canonical name of their raw name."""
-    mapping = resolved.select("utility_name", F.col("canonical_name").alias("__canonical"))
+    """Cases with the canonical name of their raw name; of several, the greatest, so that no case is multiplied."""
+    mapping = resolved.groupBy("utility_name").agg(F.max("canonical_name").alias("__canonical"))
     return cases.join(mapping, "utility_name", "left").withColumn(
         "canonical_utility_name", F.col("__canonical")
     ).drop("__canonical")

@@ -137,7 +137,11 @@ def case_statistics(cases: DataFrame) -> DataFrame:
     rows = F.when(c("set") == every, total).when(c("set") == set_of["utility_name"], names)
     for k in _GROUPED:
         rows = rows.when(c("set") == set_of[k], F.array(row(f"by_{k}", c(k), "cases", c("cnt"))))
-    return grouped.select(F.inline(rows)).groupBy("section", "key", "metric").agg(F.sum("value").alias("value"))
+    # A table without rows has no grouping set at all; zeros change no other sum.
+    zeros = [row("total", none, metric, F.lit(0)) for metric in ("cases", "unique_utilities")]
+    zeros += [row(section, none, metric, none if section == "dates" else F.lit(0)) for section, metric in of_all]
+    found = grouped.select(F.inline(rows)).unionByName(cases.sparkSession.range(1).select(F.inline(F.array(*zeros))))
+    return found.groupBy("section", "key", "metric").agg(F.sum("value").alias("value"))
 
 
 def store_statistics(cases: DataFrame, documents: DataFrame, operations: DataFrame, links: DataFrame, emissions: DataFrame,

@@ -127,3 +127,53 @@ def test_null_keys_are_stored_keys(spark):
     batch = cases(spark, (None, "or", "A", "OR", None, None, 1), ("3", "or", "A", "OR", None, None, 2))
     got = {r.docket_number: r.is_stored for r in merge.merge_existence(old, batch, merge.CASE_KEYS).collect()}
     assert got == {None: True, "3": False}
+
+
+def test_effects_come_with_what_happened(spark):
+    old = cases(spark, ("1", "or", "A", "OR", "active", 5.0, 0), ("2", "or", "B", "OR", "active", None, 0)).drop("seq")
+    batch = cases(spark, ("1", "or", "A", "OR", "decided", None, 1), ("1", "or", "A", "OR", None, 6.0, 2), ("3", "or", "C", "OR", None, None, 3))
+    got = {r.docket_number: (r.is_new, r.n_rows, r.status) for r in merge.case_effects(old, batch).collect()}
+    assert got == {"1": (False, 2, "decided"), "2": (False, 0, "active"), "3": (True, 1, "unknown")}
+
+
+def test_the_stored_side_is_shuffled_once(spark):
+    old, batch = (cases(spark).repartition(3) for _ in range(2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = merge.merge_cases(old.drop("seq"), batch)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the stored rows, one for the folded batch, and the repartitions of the test's own inputs.
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("SortMergeJoin") == 1
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    path = str(tmp_path / "cases")
+    old = cases(spark, ("1", "or", "A", "OR", "active", 5.0, 0), ("1", "wa", "A", "WA", "active", 5.0, 0)).drop("seq")
+    old.write.partitionBy("source").parquet(path)
+    files = lambda: {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "cases").glob("source=*")}
+    before = files()
+    batch = cases(spark, ("1", "or", "A", "OR", "decided", None, 1), ("2", "ct", "A", "CT", "filed", None, 2))
+    result = merge.merge_partitions(spark, path, old.schema, batch, "source", merge.case_effects)
+    after = files()
+    assert after["source=wa"] == before["source=wa"] and after["source=or"] != before["source=or"]
+    assert as_dict(spark.read.schema(old.schema).parquet(path)) == {
+        ("1", "or"): ("decided", 5.0), ("1", "wa"): ("active", 5.0), ("2", "ct"): ("filed", None)}
+    assert result.filter("is_new").count() == 1
+    # applied again, as after a failure
+    merge.merge_partitions(spark, path, old.schema, batch, "source", merge.case_effects)
+    assert as_dict(spark.read.schema(old.schema).parquet(path))[("1", "or")] == ("decided", 5.0)
+
+
+def test_repeated_keys_multiply_no_rows(spark):
+    from tariffworks.operators import pages, resolve
+
+    named = spark.createDataFrame([("A",), ("B",)], "utility_name string")
+    mapping = spark.createDataFrame([("A", "a1"), ("A", "a2"), ("C", "c")], "utility_name string, canonical_name string")
+    got = sorted(map(tuple, resolve.apply_name_mapping(named, mapping).collect()))
+    assert got == [("A", "a2"), ("B", None)]
+    fields = "page_id int, utility_name string, utility_type string, filing_date string, status string, description string"
+    known = spark.createDataFrame([(1, None, "gas", None, "open", "short"), (2, "N", None, None, None, None)], fields)
+    scraped = spark.createDataFrame([(1, "X", "", "2020", None, "longer text"), (1, "W", None, "2021", "closed", "long text")], fields)
+    got = sorted(map(tuple, pages.merge_scraped_fields(known, scraped, "page_id").collect()))
+    assert got == [(1, "X", "gas", "2021", "closed", "longer text"), (2, "N", None, None, None, None)]
