@@ -68,7 +68,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(rows: DataFrame, key: str) -> DataFrame:
     """Rows dealt out by a unique key, before costly expressions.
 
-    A scan alone has as many tasks as its files have row groups, which may be one.
+    A scan alone has as many tasks as its files have row groups, and a join of small rows as few as adaptive
+    execution leaves; both may be one.
     """
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
@@ -121,10 +122,11 @@ def rate_cases(spark: SparkSession, sf_dir: str, score: bool = True, every_colum
         F.sum(_cents(c("l_extendedprice") * (1 - c("l_discount")))).alias("net"),
     )
     joined = (
-        dealt(table(spark, sf_dir, "orders"), "o_orderkey")
+        table(spark, sf_dir, "orders")
         .join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
         .join(amounts, c("o_orderkey") == c("l_orderkey"), "left")
     )
+    joined = dealt(joined, "o_orderkey")
     decided = c("o_orderstatus") == "F"
     sign = F.when(decided & (c("o_orderpriority") == "5-LOW"), lit(-1.0)).otherwise(lit(1.0))
 
@@ -426,7 +428,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Web pages have negative ids.
     """
-    orders = dealt(table(spark, sf_dir, "orders"), "o_orderkey").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey"))
+    orders = dealt(table(spark, sf_dir, "orders").join(customers(spark, sf_dir), c("o_custkey") == c("c_custkey")), "o_orderkey")
     key = c("o_orderkey").cast("string")
     day = c("o_orderdate").cast("date")
     us = F.date_format(day, "M/d/yyyy")
