@@ -239,11 +239,37 @@ def docket_scan(page: Column, pattern: str) -> Column:
 
 # --- docket references with their surroundings ------------------------------------
 
+#: Matches whose places are added up at once.
+_BLOCK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(items: Column) -> Column:
+    last = F.floor((F.size(items) - 1) / _BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+
+def _running(steps: Column, base: Column) -> Column:
+    """Start of each step (gap, size, value) behind a base; the steps are few."""
+    start = F.struct(F.array().cast("array<struct<value:string,start:int,size:int>>").alias("out"), base.alias("at"))
+
+    def place(acc: Column, m: Column) -> Column:
+        item = F.struct(m["value"].alias("value"), (acc["at"] + m["gap"]).alias("start"), m["size"].alias("size"))
+        return F.struct(F.array_append(acc["out"], item).alias("out"), (acc["at"] + m["gap"] + m["size"]).alias("at"))
+
+    return F.aggregate(steps, start, place, lambda acc: acc["out"])
+
+
 def matches_with_place(page: Column, pattern: str, group: int = 1) -> Column:
     """Array of (value, start, length) of all matches; start counts from 1.
 
     The pieces between matches and the matches themselves give each place as a
-    running sum of lengths.
+    running sum of lengths: of whole blocks first, then inside each block, so
+    that a page with very many matches takes no longer per match.
     """
     # Zipped first: an array named inside a lambda would be made again per element.
     zipped = F.arrays_zip(
@@ -257,25 +283,36 @@ def matches_with_place(page: Column, pattern: str, group: int = 1) -> Column:
             F.length(m["whole"]).alias("size"),
         ),
     )
-    start = F.struct(
-        F.array().cast("array<struct<value:string,start:int,size:int>>").alias("out"),
-        F.lit(1).alias("at"),
-    )
 
-    def place(acc: Column, m: Column) -> Column:
-        item = F.struct(m["value"], (acc["at"] + m["gap"]).alias("start"), m["size"])
-        return F.struct(
-            F.array_append(acc["out"], item).alias("out"),
-            (acc["at"] + m["gap"] + m["size"]).alias("at"),
-        )
+    def placed(steps: Column) -> Column:
+        def in_blocks(blocks: Column) -> Column:
+            whole = F.transform(blocks, lambda b: F.struct(
+                F.lit("").alias("value"), F.lit(0).alias("gap"),
+                F.aggregate(b, F.lit(0), lambda acc, m: acc + m["gap"] + m["size"]).alias("size")))
+            return F.flatten(F.zip_with(blocks, _running(whole, F.lit(1)), lambda b, w: _running(b, w["start"])))
 
-    return F.aggregate(steps, start, place, lambda acc: acc["out"])
+        return _let(_blocks(steps), in_blocks)
+
+    return _let(steps, placed)
+
+
+def with_surroundings(page: Column, matches: Column, reach: int = 200) -> Column:
+    """The matches (value, start, size) with the text around each, tags replaced by blanks.
+
+    A block of matches is cut out of the page first and each match out of its block, since finding a
+    place in a text means reading it from the start.
+    """
+    def low(m: Column) -> Column:
+        return F.greatest(m["start"] - reach, F.lit(1))
 
+    def cut(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.element_at(block, -1)
+        text = F.substring(page, low(first), last["start"] + last["size"] + reach - low(first))
+        return _let(F.struct(text.alias("text"), low(first).alias("low")), lambda b: F.transform(block, lambda m: F.struct(
+            m["value"].alias("value"), m["start"].alias("start"), m["size"].alias("size"),
+            strip(strip_tags(F.substring(b["text"], low(m) - b["low"] + 1, m["start"] + m["size"] + reach - low(m)), " ")).alias("around"))))
 
-def surroundings(page: Column, start: Column, size: Column, reach: int = 200) -> Column:
-    """Text around a place, tags replaced by blanks."""
-    low = F.greatest(start - reach, F.lit(1))
-    return strip(strip_tags(F.substring(page, low, start + size + reach - low), " "))
+    return _let(matches, lambda all_of: F.flatten(F.transform(F.filter(_blocks(all_of), lambda b: F.size(b) > 0), cut)))
 
 
 BRACKET_REF = r"\[(\d{2}-\d{2}-\d{2}(?:[A-Z]{2}\d{2})?)\]"

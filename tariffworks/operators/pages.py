@@ -86,11 +86,10 @@ def _references(pages: DataFrame) -> DataFrame:
     """References of both kinds with their surroundings; a page is searched and cut in its own row."""
     def placed(pattern: str, kind: int):
         def one(m):
-            around = html.surroundings(_page(), m["start"], m["size"])
             return F.struct(
                 m["value"].alias("docket_number"), F.lit(kind).alias("kind"), m["start"].alias("at"),
-                (squeeze(around) if kind == 0 else around).alias("around"))
-        return F.transform(html.matches_with_place(_page(), pattern), one)
+                (squeeze(m["around"]) if kind == 0 else m["around"]).alias("around"))
+        return F.transform(html.with_surroundings(_page(), html.matches_with_place(_page(), pattern)), one)
 
     found = F.concat(placed(html.BRACKET_REF, 0), placed(html.LINK_REF, 1))
     # Cut out first, decoded next: decoding names its input more than once.

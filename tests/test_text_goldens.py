@@ -1,6 +1,7 @@
 """Published example values of the text functions."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,27 @@ def test_references_and_their_contexts(spark):
     assert got["18-03-28"] == "[24-10-04] again [18-03-28] filing"
 
 
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 50_000])
+def test_places_of_matches_on_pages_of_any_length(spark, n):
+    page = "".join(f"é<p>[24-{i % 12 + 1:02d}-{i % 100:02d}] of {i}</p>" for i in range(n))
+    row = spark.createDataFrame([(page,), (None,)], "html string").select(
+        html.matches_with_place(F.col("html"), html.BRACKET_REF).alias("m")).collect()
+    expected = [(m.group(1), m.start() + 1, len(m.group())) for m in re.finditer(html.BRACKET_REF, page)]
+    assert [tuple(x) for x in row[0].m] == expected and row[1].m is None
+
+
+def test_surroundings_are_cut_in_blocks(spark):
+    from tariffworks.operators.pages import docket_references
+
+    page = "".join(f"é [24-{i % 12 + 1:02d}-{i % 100:02d}] of {i}; " for i in range(700))
+    row = spark.createDataFrame([(page,), ("",), (None,)], "html string").select(
+        html.with_surroundings(F.col("html"), html.matches_with_place(F.col("html"), html.BRACKET_REF)).alias("m")).collect()
+    expected = [page[max(m.start() - 200, 0) : m.end() + 200].strip() for m in re.finditer(html.BRACKET_REF, page)]
+    assert [x.around for x in row[0].m] == expected and not row[1].m and not row[2].m
+    many = "".join(f"<p>[24-{i % 12 + 1:02d}-{i % 100:02d}] of {i}</p>" for i in range(50_000))
+    assert docket_references(spark.createDataFrame([(1, many)], "page_id long, html string")).count() == 300
+
+
 def test_records(spark):
     base = {f.name: None for f in RAW_RECORD.fields}
     raw = [
