@@ -32,10 +32,6 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _WHITE_SPACE_RUN, " "))
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(strip(text), F.lit(""))
-
-
 def any_of(words: Iterable[str]) -> str:
     """One alternation of literal words."""
     return "|".join(literal(w) for w in words)

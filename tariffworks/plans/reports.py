@@ -207,11 +207,15 @@ def approval_by_utility(cases: DataFrame) -> DataFrame:
 
 
 def avg_change_by_state(cases: DataFrame) -> DataFrame:
+    """Averages over exact decimals, so that they do not depend on the order of the rows."""
+    def average(amount: str) -> Column:
+        return F.round(F.avg(c(amount).cast("decimal(28,6)")), 6).cast("double")
+
     return cases.filter(
         c("requested_revenue_change").isNotNull() & c("state").isNotNull()
     ).groupBy("state").agg(
-        F.round(F.avg("requested_revenue_change"), 6).alias("avg_requested"),
-        F.round(F.avg("approved_revenue_change"), 6).alias("avg_approved"),
+        average("requested_revenue_change").alias("avg_requested"),
+        average("approved_revenue_change").alias("avg_approved"),
     )
 
 

@@ -11,7 +11,8 @@ import __spark_entry__ as entry
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-SOME = ["state_rollup", "bill_impact", "extract_dollar", "html_labelled_fields", "merge_cases", "src_ops_csv"]
+SOME = ["state_rollup", "bill_impact", "extract_dollar", "html_labelled_fields", "merge_cases", "src_ops_csv",
+        "src_raw_json", "stats_all", "dedupe_first", "hist_quality", "schema_store_case", "sink_cases_csv", "link_utilities"]
 EMPTY_HERE = {"filter_operations"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not present")
