@@ -148,8 +148,12 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     extra = linked(rows, scope)
     both = rows.join(extra, ["row_a", "row_b"], "left")
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+
+    def count(k: int) -> Column:
+        # A second parameter of the lambda, also one with a default, would be the place in the array.
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
     return both.select(
-        "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+        "doc_id", *map(count, range(3)), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", F.coalesce("extra", none))).alias("spans"),
         F.size(F.coalesce("extra", none)).cast("long").alias("n_linked"))

@@ -177,6 +177,15 @@ def test_secrets(spark):
     assert spans[501] == base_by_force(dict(SECRETS)[501]) and spans[505] == base_by_force(dict(SECRETS)[505])
 
 
+def test_secrets_counts(spark):
+    """Counts by kind, whatever the order of the spans."""
+    rows = [(1, "token=abcdefgh"), (2, "f" * 32), (3, "f" * 32 + " AKIAABCDEFGHIJKL token: 'abcdefgh1' secret=short"),
+            (4, "AKIAABCDEFGHIJKL " * 3), (5, None)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in got.collect()) == [
+        (1, 1, 0, 0), (2, 0, 0, 1), (3, 1, 1, 1), (4, 0, 3, 0), (5, 0, 0, 0)]
+
+
 # Personal data ------------------------------------------------------------------------------------
 
 PRIVATE = [
