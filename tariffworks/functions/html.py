@@ -233,6 +233,23 @@ def labelled_field(page: Column, label: str, value: str = r"([^<]+)") -> Column:
     return strip(found(page, rf"(?i)(?:{label})\s*[:=]\s*</[^>]+>\s*{value}"))
 
 
+#: Labels of :func:`labelled_pieces`: the first two letters, and the rest.
+_LABELS = [("fi", r"l(?:ed\s*By|er|ing\s*Date)"), ("in", "dustry"), ("st", "atus"), ("ca", "tegory"), ("de", "scription")]
+_FIRST, _SECOND = ("".join(sorted({x for two, _ in _LABELS for x in (two[i], two[i].upper())})) for i in (0, 1))
+_LABELLED = (rf"[{_FIRST}][{_SECOND}](?<=(?=((?i:" + "|".join(two + rest for two, rest in _LABELS)
+             + r")\s*[:=]\s*</[^>]+>\s*[^<]+))[a-zA-Z]{2})")
+
+
+def labelled_pieces(page: Column) -> Column:
+    """The labels of a proceeding page with their values, in one text.
+
+    :func:`labelled_field` finds the same in it as in the page: every place where it could match is
+    the start of a piece, pieces may overlap, and none can match beyond its end, since the next one
+    follows a ``<`` and starts with a letter.  Two letters are tested before a label is tried.
+    """
+    return F.array_join(_all(page, _LABELLED), "<")
+
+
 def docket_scan(page: Column, pattern: str) -> Column:
     return F.array_distinct(_all(page, f"({pattern})"))
 

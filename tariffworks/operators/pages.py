@@ -65,20 +65,28 @@ def case_fields(pages: DataFrame) -> DataFrame:
 
 def labelled_fields(pages: DataFrame) -> DataFrame:
     """Six labelled fields of a proceeding page."""
-    industry = F.lower(html.labelled_field(_page(), "Industry"))
-    status = F.lower(html.labelled_field(_page(), "Status"))
-    return pages.select(
+    # The page is searched once and each field once in what was found: a chain that names a field
+    # several times would search for it as often.
+    searched = (pages.select("page_id", html.labelled_pieces(_page()).alias("pieces")))
+    pieces = F.col("pieces")
+    fields = (searched.select(
         "page_id",
-        html.labelled_field(_page(), r"Filed\s*By|Filer").alias("utility_name"),
-        first_word(industry, V.TYPE_WORDS_CA, None).alias("utility_type"),
-        parse_date_state(
-            html.labelled_field(_page(), r"Filing\s*Date", r"(\d{1,2}/\d{1,2}/\d{4})")
-        ).alias("filing_date"),
+        html.labelled_field(pieces, r"Filed\s*By|Filer").alias("utility_name"),
+        F.lower(html.labelled_field(pieces, "Industry")).alias("industry"),
+        html.labelled_field(pieces, r"Filing\s*Date", r"(\d{1,2}/\d{1,2}/\d{4})").alias("filed"),
+        F.lower(html.labelled_field(pieces, "Status")).alias("status"),
+        html.labelled_field(pieces, "Category").alias("category"),
+        html.labelled_field(pieces, "Description").alias("description"),
+    ))
+    status = F.col("status")
+    return fields.select(
+        "page_id", "utility_name",
+        first_word(F.col("industry"), V.TYPE_WORDS_CA, None).alias("utility_type"),
+        parse_date_state(F.col("filed")).alias("filing_date"),
         F.when(status.contains("clos") | status.contains("final"), "decided")
         .when(status.contains("active") | status.contains("open"), "active")
         .otherwise(status).alias("status"),
-        html.labelled_field(_page(), "Category").alias("category"),
-        html.labelled_field(_page(), "Description").alias("description"),
+        "category", "description",
     )
 
 
