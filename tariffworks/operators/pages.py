@@ -155,10 +155,13 @@ def listing_titles(pages: DataFrame) -> DataFrame:
             F.regexp_extract_all(_page(), F.lit(html.LISTED_REF), F.lit(1))
         )).alias("docket_number"),
     )
-    titled = listed.select(
-        "page_id", "docket_number", html.title_after(_page(), F.col("docket_number")).alias("title")
+    # Steps of their own, and no filter of the rows: a filter would be moved below the steps and repeat them.
+    raw = listed.select("page_id", "docket_number", html.title_after(_page(), F.col("docket_number")).alias("raw"))
+    decoded = raw.select("page_id", "docket_number", html.unescape(F.col("raw")).alias("title"))
+    long = F.length("title") > 5
+    return decoded.groupBy("docket_number").agg(
+        F.max_by("title", F.when(long, F.col("page_id"))).alias("title")
     ).filter(F.col("title").isNotNull())
-    return titled.groupBy("docket_number").agg(F.max_by("title", "page_id").alias("title"))
 
 
 def title_context(references: DataFrame, titles: DataFrame) -> DataFrame:

@@ -35,3 +35,13 @@ def test_labelled_fields_search_the_page_once(spark):
     df = P.labelled_fields(spark.createDataFrame([(1, "<p>Status:</b> Closed</p>")], "page_id long, html string"))
     assert plan(df).count("regexp_extract_all(html") == 1 and "regexp_extract(html" not in plan(df)
     assert df.first().status == "decided"
+
+
+def test_listing_titles_search_the_page_once(spark):
+    def listed(docket, title):
+        return f'<font color="#008000">{docket}</font><a href="x?OpenDocument">{title}</a>'
+
+    rows = [(1, listed("01-02-03", "Application &amp; more")), (2, listed("01-02-03", "short")), (3, listed("01-02-04", "tiny"))]
+    df = P.listing_titles(spark.createDataFrame(rows, "page_id long, html string"))
+    assert plan(df).count("OpenDocument") == 1
+    assert [tuple(r) for r in df.collect()] == [("01-02-03", "Application & more")]
