@@ -19,7 +19,8 @@ WHITE_SPACE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_WHITE_SPACE_RUN = f"[{WHITE_SPACE}]+"
+#: The same characters by their class, which tests a character several times faster than a list of them.
+_WHITE_SPACE_RUN = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 
 
 def strip(text: Column) -> Column:

@@ -45,3 +45,10 @@ def test_listing_titles_search_the_page_once(spark):
     df = P.listing_titles(spark.createDataFrame(rows, "page_id long, html string"))
     assert plan(df).count("OpenDocument") == 1
     assert [tuple(r) for r in df.collect()] == [("01-02-03", "Application & more")]
+
+
+def test_white_space(spark):
+    every = [chr(n) for n in range(1, 0x10000) if not 0xD800 <= n < 0xE000]
+    got = spark.createDataFrame([(x,) for x in every], "x string").select(
+        "x", squeeze(F.concat(F.lit("a"), "x", F.lit("b"))).alias("y")).where("y = 'a b'")
+    assert sorted(r.x for r in got.collect()) == sorted(WHITE_SPACE)
