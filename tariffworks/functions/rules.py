@@ -7,6 +7,8 @@ and stays inside generated code.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,11 +16,27 @@ from tariffworks import fixed_values as V
 from tariffworks.functions.columns import any_of, first_rule, first_word, lookup, strip
 
 
+def _first_letters(pattern: str) -> str | None:
+    """Letters a match of the pattern starts with, in lower case; None for patterns that are not plain enough to tell.
+
+    Told for words, and for a group of words, optional or not, before other words.
+    """
+    group = re.match(r"\(([A-Za-z]\w+(?:\|[A-Za-z]\w+)*)(?:\\s\+)?\)(\??)", pattern)
+    if group:
+        rest = _first_letters(pattern[group.end():]) if group[2] else ""
+        return None if rest is None else "".join(w[0] for w in group[1].split("|")).lower() + rest
+    # A quantifier behind the first letter could drop it.
+    return pattern[0].lower() if re.match(r"[A-Za-z][A-Za-z ]", pattern) and "|" not in re.sub(r"\([^()]*\)", "", pattern) else None
+
+
 def _compiled(rules) -> list[tuple[str, str]]:
     out = []
     for label, patterns, keywords in rules:
         parts = [f"(?:{p})" for p in patterns] + [f"(?:{any_of([k.lower()])})" for k in keywords]
-        out.append((label, "(?i)" + "|".join(parts)))
+        letters = [_first_letters(p) for p in [*patterns, *keywords]]
+        # One look at a letter spares most places of a text the trial of every alternative.
+        ahead = "" if None in letters else f"(?=[{''.join(sorted(set(''.join(letters))))}])"
+        out.append((label, f"(?i){ahead}(?:{'|'.join(parts)})"))
     return out
 
 
