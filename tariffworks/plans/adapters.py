@@ -65,13 +65,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(rows: DataFrame, key: str) -> DataFrame:
-    """Rows dealt out by a unique key, before costly expressions.
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by keys of few rows each, before costly expressions.
 
     A scan alone has as many tasks as its files have row groups, and a join of small rows as few as adaptive
     execution leaves; both may be one.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _nth(values: list[str], position: Column) -> Column:
@@ -215,23 +215,32 @@ def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def utility_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, revenue, sales and price by supplier and year."""
-    lines = supplier_lines(spark, sf_dir)
-    cents = _cents(c("l_extendedprice"))
+    # Lines are summed up by supplier, year and order before names join, and dealt out by them first: a
+    # scan's tasks would each hold nearly all of their rows as groups, since an order rarely has two
+    # lines of a supplier.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.year("l_shipdate").alias("year"), "l_orderkey", "l_returnflag",
+        _cents(c("l_extendedprice")).alias("cents"), c("l_quantity").cast("bigint").alias("mwh"))
     classes = {name: c("l_returnflag") == flag for flag, name in CLASS_OF.items()}
     classes["total"] = lit(True)
-    keys = ["l_suppkey", "year", "s_name", "n_nationkey", "n_name", "n_regionkey"]
     # Orders first: each is then one row, and customers are counted without a
     # distinct count per class, which would multiply the rows.
-    per_order = lines.groupBy(*keys, "l_orderkey").agg(*[
-        x for name, inside in classes.items() for x in (
-            F.sum(F.when(inside, cents)).alias(f"{name}_cents"),
-            F.sum(F.when(inside, c("l_quantity").cast("bigint"))).alias(f"{name}_mwh"))
-    ])
-    grouped = per_order.groupBy(*keys).agg(*[
+    order = ["l_suppkey", "year", "l_orderkey"]
+    per_order = dealt(lines, *order).groupBy(*order).agg(*[
+        F.sum(F.when(inside, c(x))).alias(f"{name}_{x}") for name, inside in classes.items() for x in ("cents", "mwh")])
+    per_year = per_order.groupBy("l_suppkey", "year").agg(*[
         x for name in classes for x in (
             F.count(f"{name}_cents").alias(f"{name}_customers"),
             F.sum(f"{name}_cents").alias(f"{name}_cents"), F.sum(f"{name}_mwh").alias(f"{name}_mwh"))
     ])
+    # A supplier that comes several times has its lines as often, its orders once.
+    names = ["s_name", "n_nationkey", "n_name", "n_regionkey"]
+    supplier = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")
+    ).groupBy("s_suppkey", *names).agg(F.count("*").alias("copies"))
+    grouped = per_year.join(supplier, c("l_suppkey") == c("s_suppkey")).select(
+        "l_suppkey", "year", *names, *[f"{n}_customers" for n in classes],
+        *[(c(f"{n}_{x}") * c("copies")).alias(f"{n}_{x}") for n in classes for x in ("cents", "mwh")])
 
     def price(name: str) -> Column:
         return _whole(c(f"{name}_cents") / c(f"{name}_mwh") / 100) / 100

@@ -1,10 +1,14 @@
-"""Steps that many queries share: rules, and others."""
+"""Steps that many queries share: rules, links of names, operations by supplier."""
 
+import datetime
 import random
 import re
 
 from tariffworks import fixed_values as V
 from tariffworks.functions import rules
+from tariffworks.plans import adapters
+
+T = datetime.datetime
 
 
 def test_rules_look_at_a_letter_first():
@@ -18,3 +22,19 @@ def test_rules_look_at_a_letter_first():
             assert label == same and pattern.startswith("(?i)(?=[")
             assert [bool(plain.search(t)) for t in texts] == [bool(re.search(pattern, t, re.A)) for t in texts]
     assert [rules._first_letters(p) for p in ("x?y", "ab|cd", r"\d+ab", "(a+|b)cd", "(no )?go")] == [None] * 5
+
+
+def test_operations_of_repeated_suppliers(spark, tmp_path):
+    """A supplier that comes twice has its lines twice and its orders once; lines are dealt out before they are summed up."""
+    rows = {
+        "nation": [(0, "ALGERIA", 0)],
+        "supplier": [(1, "S1", 0, 1.0), (1, "S1", 0, 2.0), (1, "S1b", 0, 1.0), (2, "S2", 0, 1.0), (None, "S3", 0, 1.0)],
+        "lineitem": [(o, 1, s, 1, 10.0, 1000.0, 0.0, 0.0, f, "F", T(1995, 1, 1))
+                     for o, s, f in [(1, 1, "A"), (1, 1, "N"), (2, 1, "A"), (3, 2, "R"), (4, None, "A"), (5, 7, "A")]],
+    }
+    for name, values in rows.items():
+        spark.createDataFrame(values, adapters.TABLE_TYPES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = adapters.utility_operations(spark, str(tmp_path))
+    assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.utility_name, r.total_customers, r.residential_customers, r.total_revenue, r.total_sales_mwh, r.avg_price) for r in got.collect()) == [
+        ("S1", 2, 2, 6.0, 60.0, 1.0), ("S1b", 2, 2, 3.0, 30.0, 1.0), ("S2", 1, None, 1.0, 10.0, 1.0)]
