@@ -139,12 +139,15 @@ def link_emissions(links: DataFrame, emissions: DataFrame, threshold: int = LINK
     ``links`` needs an order column ``seq``; a record without a match keeps its
     own id.
     """
-    forms = links.select(
-        norm_for_match(F.col("utility_name")).alias("norm"),
-        F.upper(F.coalesce("state", F.lit(""))).alias("state"), "eia_utility_id", "seq",
-    )
-    by_state = forms.groupBy("norm", "state").agg(
-        F.max_by("eia_utility_id", "seq").alias("eia_utility_id"), F.min("seq").alias("rank")
+    # The matching form is costly, so each spelling gets it once, in as many tasks as a shuffle has.
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = links.select(
+        "utility_name", F.upper(F.coalesce("state", F.lit(""))).alias("state"), "eia_utility_id", "seq",
+    ).groupBy("utility_name", "state").agg(
+        F.max_by("eia_utility_id", "seq").alias("eia_utility_id"), F.max("seq").alias("last"), F.min("seq").alias("rank")
+    ).repartition(parts, "utility_name", "state")
+    by_state = names.withColumn("norm", norm_for_match(F.col("utility_name"))).groupBy("norm", "state").agg(
+        F.max_by("eia_utility_id", "last").alias("eia_utility_id"), F.min("rank").alias("rank")
     )
     left = (
         emissions.select(
@@ -152,6 +155,7 @@ def link_emissions(links: DataFrame, emissions: DataFrame, threshold: int = LINK
             F.upper(F.coalesce("state", F.lit(""))).alias("link_state"),
         )
         .distinct()
+        .repartition(parts, "link_name", "link_state")
         .withColumn("norm", norm_for_match(F.coalesce("link_name", F.lit(""))))
     )
     staged = _exact(left, by_state)

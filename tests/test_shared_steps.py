@@ -6,6 +6,7 @@ import re
 
 from tariffworks import fixed_values as V
 from tariffworks.functions import rules
+from tariffworks.operators import linkage
 from tariffworks.plans import adapters
 
 T = datetime.datetime
@@ -24,6 +25,17 @@ def test_rules_look_at_a_letter_first():
     assert [rules._first_letters(p) for p in ("x?y", "ab|cd", r"\d+ab", "(a+|b)cd", "(no )?go")] == [None] * 5
 
 
+def test_links_of_repeated_names(spark):
+    """The last row of a form gives the id, however its spellings repeat."""
+    links = spark.createDataFrame(
+        [("Acme Power Inc.", "or", 1, 1), ("Acme Power", "OR", 2, 5), ("Acme Power Inc.", "or", 3, 7), ("Acme Power Inc.", "OR", 4, 3),
+         ("Other Water", None, 9, 2)], "utility_name string, state string, eia_utility_id long, seq long")
+    emissions = spark.createDataFrame([("ACME POWER CORP", "or", 77), ("Other Water", None, 78), ("Nobody", "or", 79)],
+                                      "utility_name_egrid string, state string, eia_utility_id long")
+    assert sorted((r.utility_name_egrid, r.eia_utility_id, r.is_linked) for r in linkage.link_emissions(links, emissions).collect()) == [
+        ("ACME POWER CORP", 3, True), ("Nobody", 79, False), ("Other Water", 9, True)]
+
+
 def test_operations_of_repeated_suppliers(spark, tmp_path):
     """A supplier that comes twice has its lines twice and its orders once; lines are dealt out before they are summed up."""
     rows = {
