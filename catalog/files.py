@@ -45,9 +45,11 @@ def _raw_files(s, d):
     listed = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("seq", "record"))), lambda x: x["record"]))
     files = raw.groupBy(kind.alias("part")).agg(
         F.when(F.count("*") == 1, F.to_json(F.first("record"))).otherwise(listed).alias("value"))
-    cut = files.filter(c("part").startswith("list-")).select(
-        F.concat(lit("cut-"), c("part")).alias("part"), F.substring("value", 1, 100).alias("value"))
-    files.unionByName(cut).repartition("part").write.partitionBy("part").text(folder)
+    # Each file and, of a list, the one cut short: from one run of what makes them.
+    cut = F.when(c("part").startswith("list-"), F.struct(
+        F.concat(lit("cut-"), c("part")).alias("part"), F.substring("value", 1, 100).alias("value")))
+    every = files.select(F.inline(F.array_compact(F.array(F.struct("part", "value"), cut))))
+    every.repartition("part").write.partitionBy("part").text(folder)
     return readers.read_raw_json(s, f"{folder}/*")
 
 
