@@ -25,16 +25,18 @@ def read_raw_json(spark: SparkSession, path: str, source: str | None = None
         spark.read.option("wholetext", True).text(path)
         .select(F.col("_metadata.file_path").alias("file"), "value", F.try_parse_json("value").alias("parsed"))
     )
-    entries = files.filter(F.col("parsed").isNotNull()).select(
-        "file", F.posexplode(F.coalesce(
+    # One pass: a malformed file stays as one entry without a value, its text beside it.
+    entries = files.select(
+        "file", F.when(F.col("parsed").isNull(), F.col("value")).alias("malformed"), F.posexplode(F.coalesce(
             F.try_variant_get("parsed", "$", "array<variant>"), F.array("parsed"))).alias("place", "entry"))
     is_record = F.coalesce(F.schema_of_variant("entry").startswith("OBJECT"), F.lit(False))
     fields = [F.try_variant_get("entry", f"$.{f.name}", "string").alias(f.name) for f in RAW_RECORD.fields]
     records = entries.filter(is_record).select(*fields, F.struct("file", "place").alias("seq"))
-    rejects = files.filter(F.col("parsed").isNull()).select(
-        "file", F.lit(None).cast("int").alias("place"), F.lit("malformed file").alias("reason"), F.col("value").alias("text")
-    ).unionByName(entries.filter(~is_record).select(
-        "file", "place", F.lit("not a record").alias("reason"), F.to_json("entry").alias("text")))
+    whole = F.col("malformed").isNotNull()
+    rejects = entries.filter(~is_record).select(
+        "file", F.when(~whole, F.col("place")).alias("place"),
+        F.when(whole, "malformed file").otherwise("not a record").alias("reason"),
+        F.when(whole, F.col("malformed")).otherwise(F.to_json("entry")).alias("text"))
     if source:
         records = records.withColumn("source", F.lit(source))
     return records, rejects
