@@ -3,10 +3,10 @@
 A document is the set of its 5-word shingles.  Tasks reduce a set to a sketch of minwise tokens.
 Each of several independent trees branches the documents: a node picks coordinates of the sketch,
 and a document goes to the child of its token there.  Documents that fall into a small node are
-compared exhaustively by their sketches; a large node compares all its documents with two pivots,
-is done if these tie all of them, and otherwise lets go those close to one (whatever is similar
-to them is then fairly similar to the pivot, by the triangle inequality of Jaccard distance, and has
-been tied to it) and branches the rest further.
+compared exhaustively by their sketches; a large node compares all its documents once with two pivots,
+central ones of a part of it, is done if these tie all of them, and otherwise lets go those close to
+one (whatever is similar to them is then fairly similar to the pivot, by the triangle inequality of
+Jaccard distance, and has been tied to it) and branches the rest further.
 
 What ties documents together so far are loose similarities, kept as spanning links.  Their
 components are the groups in which links are then confirmed on full sets: a small group meets in
@@ -41,8 +41,12 @@ TREES, BRANCHES, LEVELS = 10, 2, 3
 #: Documents that are compared exhaustively at once.
 SMALL = 256
 #: Sketch similarities (shares of equal tokens): loose enough for a pair at the threshold to pass
-#: but once in ten thousand, for the bound by the pivot, and close enough to leave a large node.
-LOOSE, TIED, CLOSE = 0.55, 0.45, 0.85
+#: but once in ten thousand, for the bound by the pivot (by level: what still shares a deeper node is
+#: tied more readily, since a tie too many is only one more document to confirm), and close enough to
+#: leave a large node.
+LOOSE, TIED, CLOSE = 0.55, (0.45, 0.35, 0.25, 0.15), 0.85
+#: Documents of a large node that its pivots are chosen among, about.
+CHOSEN = 64
 #: Shingles of the documents that meet in one task to be confirmed.
 GROUP_SHINGLES = 2_000_000
 BLOCK = 64
@@ -177,6 +181,48 @@ def _equal_tokens(a: str, b: str):
     return share(a, b)
 
 
+def _central(group: pd.DataFrame) -> pd.DataFrame:
+    """The document most like the others, and of those it does not tie (or the least tied one) the same."""
+    group = group.drop_duplicates("doc_id").sort_values("doc_id")
+    tokens = _tokens(group["tokens"])
+    shares = np.stack([(tokens == t).mean(1) for t in tokens])
+    pivot = int(shares.sum(0).argmax())
+    apart = np.flatnonzero(shares[pivot] < TIED[0])
+    following = int(apart[shares[np.ix_(apart, apart)].sum(0).argmax()]) if len(apart) else int(shares[pivot].argmin())
+    ids, raw = group["doc_id"].to_numpy(), group["tokens"].to_numpy()
+    return pd.DataFrame({"node": [group["node"].iloc[0]], "pivot": [ids[pivot]], "pivot_tokens": [raw[pivot]],
+                         "next": [ids[following]], "next_tokens": [raw[following]]})
+
+
+def _pivots(nodes: DataFrame, large: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Two pivots and their tokens for each large node (node, n, last), chosen among some of its documents."""
+    some = F.pmod(F.xxhash64("doc_id"), F.floor(F.col("n") / CHOSEN)) == 0
+    asked = nodes.join(large.withColumnRenamed("node", "large"), (F.col("node") == F.col("large"))
+                       & (some | (F.col("doc_id") == F.col("last")))).select("node", "doc_id")
+    return _dealt(asked.join(tokens, "doc_id"), "node").groupBy("node").applyInPandas(
+        _central, "node long, pivot long, pivot_tokens binary, next long, next_tokens binary")
+
+
+def _left(against: DataFrame, enough: float) -> DataFrame:
+    """node, doc_id of what may be like a document that is not tied to the same pivot.
+
+    Shares of equal tokens keep the triangle inequality: a document so much closer to a pivot than all that
+    are not tied is like none of them, and it is tied to all others.
+    """
+    tied, next_tied = F.col("share") >= enough, F.col("next_share") >= enough
+    far = against.groupBy("node").agg(
+        F.max(tied & next_tied).alias("one"), *[F.max(F.when(which, F.col(share))).alias(name) for name, which, share in (
+            ("apart", ~tied & ~next_tied, "share"), ("next_apart", ~tied & ~next_tied, "next_share"),
+            ("other", ~tied, "share"), ("next_other", ~next_tied, "next_share"))])
+    # Where a document is tied to both pivots, all that are tied are one group.  Where nothing is apart, all go.
+    apart, next_apart = (F.when(F.col("one"), F.col(x)).otherwise(F.col(y)) for x, y in (("apart", "other"), ("next_apart", "next_other")))
+    bounds = far.where(apart.isNotNull() & next_apart.isNotNull()).select(
+        "node", F.least(F.lit(CLOSE), apart + (1 - LOOSE)).alias("bound"),
+        F.least(F.lit(CLOSE), next_apart + (1 - LOOSE)).alias("next_bound"))
+    return against.join(bounds, "node").where(
+        (F.col("share") < F.col("bound")) & (F.col("next_share") < F.col("next_bound"))).select("node", "doc_id")
+
+
 def loose_links(sketches: DataFrame) -> DataFrame:
     """Spanning links (a, b) of the documents (doc_id, tokens, brief) that the trees find alike."""
     tokens, brief = sketches.select("doc_id", "tokens"), sketches.select("doc_id", "brief")
@@ -192,31 +238,18 @@ def loose_links(sketches: DataFrame) -> DataFrame:
         small = sizes.where(F.col("n") <= SMALL).groupBy("n", "pivot", "last", "members").agg(F.min("node").alias("node"))
         compared = nodes.join(small.select("node"), "node").join(brief, "doc_id")
         found.append(stored(_dealt(compared, "node").groupBy("node").applyInPandas(_compared, "a long, b long").distinct(), f"small{level}"))
-        large = sizes.where(F.col("n") > SMALL).select("node", "pivot")
+        large = sizes.where(F.col("n") > SMALL).select("node", "n", "last")
         if large.isEmpty():
             break
-        pivots = large.join(tokens, F.col("pivot") == F.col("doc_id")).select(
-            "node", "pivot", F.col("tokens").alias("pivot_tokens"))
         against = stored(
-            nodes.join(pivots, "node").join(tokens, "doc_id")
+            nodes.join(_pivots(nodes, large, tokens), "node").join(tokens, "doc_id")
             .withColumn("share", _equal_tokens("tokens", "pivot_tokens"))
-            .select("node", "doc_id", "pivot", "share"), f"pivots{level}")
-        # Copies are closer to what they were made from than to each other: the document closest to
-        # the first pivot is the second one.
-        second = against.where(F.col("doc_id") != F.col("pivot")).groupBy("node").agg(
-            F.max_by("doc_id", F.struct("share", -F.col("doc_id"))).alias("next"))
-        second = second.join(tokens, F.col("next") == F.col("doc_id")).select("node", "next", F.col("tokens").alias("next_tokens"))
-        against = stored(
-            against.join(second, "node").join(tokens, "doc_id")
             .withColumn("next_share", _equal_tokens("tokens", "next_tokens"))
-            .select("node", "doc_id", "pivot", "share", "next", "next_share"), f"seconds{level}")
+            .select("node", "doc_id", "pivot", "share", "next", "next_share"), f"pivots{level}")
         for pivot, share in (("pivot", "share"), ("next", "next_share")):
-            found.append(against.where((F.col(share) >= TIED) & (F.col("doc_id") != F.col(pivot)))
+            found.append(against.where((F.col(share) >= TIED[level]) & (F.col("doc_id") != F.col(pivot)))
                          .select(F.col("doc_id").alias("a"), F.col(pivot).alias("b")).distinct())
-        # Where the pivots tie all, they are one group; else what may be like an untied one branches further.
-        best = F.greatest("share", "next_share")
-        apart = against.where(best < TIED).select("node").distinct()
-        rest = against.join(apart, "node").where(best < CLOSE).select("node", "doc_id")
+        rest = _left(against, TIED[level])
         level += 1
         if level > LEVELS:
             blocks = _in_blocks(rest.join(brief, "doc_id"), ["node"], _compared, "a long, b long")
