@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from catalog.stored import capacity, impacts
 from tariffworks import fixed_values as V
 from tariffworks import schemas
-from tariffworks.operators import checked, merge
+from tariffworks.operators import checked, impact, merge
 from tariffworks.operators.firstwins import first_per_key
 from tariffworks.plans import adapters as A
 from tariffworks.plans import jobs
@@ -221,12 +221,23 @@ def _unkempt_cases(s, d):
         "requested_revenue_change": c("requested_revenue_change") + 0.0001})
 
 
+def _kept(s, tables, folder):
+    """Derived tables written once, as a store holds them, and read from there by each use."""
+    back = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+        back[name] = s.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return back
+
+
 def _export(s, d):
     """All exports written, and the rows of each counted."""
     folder = scratch(s)
-    jobs.export({"rate_cases": A.rate_cases(s, d).drop("seq"), "utilities": A.utilities(s, d).drop("seq"),
-                 "utility_operations": A.utility_operations(s, d), "utility_emissions": A.utility_emissions(s, d),
-                 "utility_capacity": capacity(s, d), "rate_case_impacts": impacts(s, d)}, folder, ("csv", "json", "report"))
+    tables = _kept(s, {"rate_cases": A.rate_cases(s, d).drop("seq"), "utility_operations": A.utility_operations(s, d),
+                       "utility_emissions": A.utility_emissions(s, d), "utility_capacity": capacity(s, d)}, f"{folder}/tables")
+    tables |= _kept(s, {"rate_case_impacts": impact.rate_case_impacts(
+        tables["rate_cases"], A.links(s, d), tables["utility_operations"])}, f"{folder}/tables")
+    jobs.export(tables | {"utilities": A.utilities(s, d).drop("seq")}, folder, ("csv", "json", "report"))
     names = ["rate_cases", "utility_operations", "utility_emissions", "utility_capacity", "rate_case_impacts", "report_utilities"]
     counts = [s.read.option("header", True).option("multiLine", True).csv(f"{folder}/{n}_csv").agg(F.count("*").alias("n")).select(lit(n).alias("name"), "n")
               for n in names]

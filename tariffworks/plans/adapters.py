@@ -65,13 +65,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+def dealt(rows: DataFrame, *keys: str, times: int = 1) -> DataFrame:
     """Rows dealt out by keys of few rows each, before costly expressions.
 
     A scan alone has as many tasks as its files have row groups, and a join of small rows as few as adaptive
-    execution leaves; both may be one.
+    execution leaves; both may be one.  ``times`` as many tasks as a shuffle has otherwise hold less each.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return rows.repartition(times * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _nth(values: list[str], position: Column) -> Column:
@@ -203,44 +203,43 @@ def case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with supplier, nation and year; small sides join by Spark's own choice."""
+SUPPLIER_NAMES = ["s_name", "n_nationkey", "n_name", "n_regionkey"]
+
+
+def with_supplier(spark: SparkSession, sf_dir: str, sums: DataFrame, names: list[str]) -> DataFrame:
+    """Sums of a supplier's lines (by l_suppkey) with its names; ``names`` are the columns that are sums.
+
+    A supplier that comes several times has its lines as often, but counts its orders once.
+    """
     supplier = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")
-    )
-    return table(spark, sf_dir, "lineitem").join(
-        supplier, c("l_suppkey") == c("s_suppkey")
-    ).withColumn("year", F.year("l_shipdate"))
+    ).groupBy("s_suppkey", *SUPPLIER_NAMES).agg(F.count("*").alias("copies"))
+    return sums.join(supplier, c("l_suppkey") == c("s_suppkey")).select(
+        *[(c(x) * c("copies")).alias(x) if x in names else c(x) for x in sums.columns], *SUPPLIER_NAMES)
 
 
 def utility_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, revenue, sales and price by supplier and year."""
-    # Lines are summed up by supplier, year and order before names join, and dealt out by them first: a
-    # scan's tasks would each hold nearly all of their rows as groups, since an order rarely has two
-    # lines of a supplier.
+    # Lines are summed up by supplier, year and order before names join, and dealt out first: a scan's tasks
+    # would each hold nearly all of their rows as groups, since an order rarely has two lines of a supplier.
+    # What is dealt out is a supplier's year in eight parts of its orders, so that both sums are made where
+    # the lines are and eight rows of a year at most go on, however many lines it has.
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", F.year("l_shipdate").alias("year"), "l_orderkey", "l_returnflag",
-        _cents(c("l_extendedprice")).alias("cents"), c("l_quantity").cast("bigint").alias("mwh"))
+        "l_suppkey", F.year("l_shipdate").alias("year"), F.pmod(F.hash("l_orderkey"), lit(8)).alias("part"), "l_orderkey",
+        "l_returnflag", _cents(c("l_extendedprice")).alias("cents"), c("l_quantity").cast("bigint").alias("mwh"))
     classes = {name: c("l_returnflag") == flag for flag, name in CLASS_OF.items()}
     classes["total"] = lit(True)
     # Orders first: each is then one row, and customers are counted without a
     # distinct count per class, which would multiply the rows.
-    order = ["l_suppkey", "year", "l_orderkey"]
-    per_order = dealt(lines, *order).groupBy(*order).agg(*[
+    part = ["l_suppkey", "year", "part"]
+    per_order = dealt(lines, *part, times=4).groupBy(*part, "l_orderkey").agg(*[
         F.sum(F.when(inside, c(x))).alias(f"{name}_{x}") for name, inside in classes.items() for x in ("cents", "mwh")])
     per_year = per_order.groupBy("l_suppkey", "year").agg(*[
         x for name in classes for x in (
             F.count(f"{name}_cents").alias(f"{name}_customers"),
             F.sum(f"{name}_cents").alias(f"{name}_cents"), F.sum(f"{name}_mwh").alias(f"{name}_mwh"))
     ])
-    # A supplier that comes several times has its lines as often, its orders once.
-    names = ["s_name", "n_nationkey", "n_name", "n_regionkey"]
-    supplier = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")
-    ).groupBy("s_suppkey", *names).agg(F.count("*").alias("copies"))
-    grouped = per_year.join(supplier, c("l_suppkey") == c("s_suppkey")).select(
-        "l_suppkey", "year", *names, *[f"{n}_customers" for n in classes],
-        *[(c(f"{n}_{x}") * c("copies")).alias(f"{n}_{x}") for n in classes for x in ("cents", "mwh")])
+    grouped = with_supplier(spark, sf_dir, per_year, [f"{n}_{x}" for n in classes for x in ("cents", "mwh")])
 
     def price(name: str) -> Column:
         return _whole(c(f"{name}_cents") / c(f"{name}_mwh") / 100) / 100
@@ -264,13 +263,16 @@ def utility_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def utility_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generation, emissions and shares by supplier and year."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    lines = supplier_lines(spark, sf_dir).join(part, c("l_partkey") == c("p_partkey"))
-    qty = c("l_quantity").cast("bigint")
+    # Names join the sums, so that no line is shuffled with them.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.year("l_shipdate").alias("year"), "l_partkey", c("l_quantity").cast("bigint").alias("qty"))
+    qty = c("qty")
     shares = dict(zip(TECHNOLOGY_OF, V.FUELS))
-    grouped = lines.groupBy("l_suppkey", "year", "s_name", "n_nationkey", "n_name", "n_regionkey").agg(
-        F.sum(qty).alias("gen"), F.sum(qty * c("p_size")).alias("co2"),
-        *[F.sum(F.when(c("p_type") == t, qty).otherwise(lit(0).cast("bigint"))).alias(f) for t, f in shares.items()],
-    )
+    sums = {"gen": F.sum(qty), "co2": F.sum(qty * c("p_size")), **{
+        f: F.sum(F.when(c("p_type") == t, qty).otherwise(lit(0).cast("bigint"))) for t, f in shares.items()}}
+    per_year = lines.join(part, c("l_partkey") == c("p_partkey")).groupBy("l_suppkey", "year").agg(
+        *[total.alias(name) for name, total in sums.items()])
+    grouped = with_supplier(spark, sf_dir, per_year, list(sums))
     out = grouped.select(
         c("s_name").alias("utility_name_egrid"), state_code().alias("state"), "year",
         F.when(c("n_regionkey") != 0, c("l_suppkey")).alias("eia_utility_id"),

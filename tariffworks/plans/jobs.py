@@ -121,7 +121,10 @@ def case_detail(cases: DataFrame, docket: str) -> DataFrame:
 
 def export(tables: dict[str, DataFrame], out_dir: str, formats: tuple[str, ...] = ("csv", "json")
            ) -> list[str]:
-    """Write the exports and return the folders written; empty tables are skipped."""
+    """Write the exports and return the folders written; empty tables are skipped.
+
+    Each table is read several times, the cases six: store derived ones first.
+    """
     cases, utilities = tables["rate_cases"], tables["utilities"]
     if cases.isEmpty():
         return []

@@ -3,7 +3,9 @@
 import datetime
 import random
 import re
+from unittest.mock import MagicMock
 
+from catalog import files
 from tariffworks import fixed_values as V
 from tariffworks.functions import rules
 from tariffworks.operators import linkage
@@ -50,3 +52,50 @@ def test_operations_of_repeated_suppliers(spark, tmp_path):
     assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.utility_name, r.total_customers, r.residential_customers, r.total_revenue, r.total_sales_mwh, r.avg_price) for r in got.collect()) == [
         ("S1", 2, 2, 6.0, 60.0, 1.0), ("S1b", 2, 2, 3.0, 30.0, 1.0), ("S2", 1, None, 1.0, 10.0, 1.0)]
+
+
+def test_operations_are_summed_up_where_lines_are_dealt(spark, tmp_path):
+    """Lines are shuffled once: orders, then years, are summed up in the same task, and few rows a year go on."""
+    rows = {
+        "nation": [(0, "ALGERIA", 0)], "supplier": [(1, "S1", 0, 1.0)],
+        "lineitem": [(o, 1, 1, 1, 10.0, 1000.0, 0.0, 0.0, "ANR"[o % 3], "F", T(1995, 1, 1)) for o in range(2000)]}
+    for name, values in rows.items():
+        spark.createDataFrame(values, adapters.TABLE_TYPES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = adapters.utility_operations(spark, str(tmp_path))
+    assert re.search(r"RepartitionByExpression \[l_suppkey#\d+L, year#\d+, part#\d+\]", got._jdf.queryExecution().optimizedPlan().toString())
+    shuffled = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", got._jdf.queryExecution().executedPlan().toString())
+    assert shuffled and not any("l_orderkey" in keys for keys in shuffled)
+    assert [(r.total_customers, r.residential_customers, r.total_sales_mwh) for r in got.collect()] == [(2000, 667, 20000.0)]
+
+
+def test_emissions_of_repeated_suppliers(spark, tmp_path):
+    """A supplier that comes twice has its lines twice; names join the sums, not the lines."""
+    rows = {
+        "nation": [(0, "ALGERIA", 0), (1, "ARGENTINA", 1)], "part": [(1, "p", "b", "STANDARD", 3, 1.0), (2, "p", "b", "PROMO", 5, 1.0)],
+        "supplier": [(1, "S1", 1, 1.0), (1, "S1", 1, 2.0), (2, "S2", 0, 1.0), (None, "S3", 0, 1.0)],
+        "lineitem": [(o, p, s, 1, 10.0, 1000.0, 0.0, 0.0, "A", "F", T(1995, 1, 1))
+                     for o, p, s in [(1, 1, 1), (2, 2, 1), (3, 1, 2), (4, 2, None), (5, 9, 1)]]}
+    for name, values in rows.items():
+        spark.createDataFrame(values, adapters.TABLE_TYPES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = adapters.utility_emissions(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("s_suppkey") < plan.index("l_partkey")  # printed from the last step to the first
+    assert sorted((r.utility_name_egrid, r.eia_utility_id, r.net_generation_mwh, r.co2_tons, r.coal_pct, r.wind_pct) for r in got.collect()) == [
+        ("S1", 1, 40.0, 160.0, 50.0, 50.0), ("S2", None, 10.0, 30.0, 100.0, None)]
+
+
+def test_exports_read_stored_tables(monkeypatch):
+    """Each derived table is worked out once, whatever reads it."""
+    seen = {}
+    monkeypatch.setattr(files.jobs, "export", lambda tables, folder, formats: seen.update(tables))
+    monkeypatch.setattr(files, "scratch", lambda s: "folder")
+    monkeypatch.setattr(files, "_kept", lambda s, tables, folder: {name: f"{folder}/{name}" for name in tables})
+    for name in ("rate_cases", "utility_operations", "utility_emissions", "utilities", "links"):
+        monkeypatch.setattr(files.A, name, MagicMock())
+    monkeypatch.setattr(files, "capacity", MagicMock())
+    impacts = MagicMock()
+    monkeypatch.setattr(files.impact, "rate_case_impacts", impacts)
+    files._export(MagicMock(), "d")
+    assert all(seen[x] == f"folder/tables/{x}" for x in (
+        "rate_cases", "utility_operations", "utility_emissions", "utility_capacity", "rate_case_impacts"))
+    assert impacts.call_args.args[0] == seen["rate_cases"] and impacts.call_args.args[2] == seen["utility_operations"]
