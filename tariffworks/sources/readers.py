@@ -105,6 +105,8 @@ def _typed_operations(sheet: DataFrame) -> DataFrame:
 
 #: Columns a spreadsheet file has at most.
 MOST_COLUMNS = 100
+#: Parts that the rows of a file meet its header in.
+FILE_PARTS = 32
 
 
 def _header_names(parents: Column, children: Column) -> Column:
@@ -161,8 +163,20 @@ def read_operations_files(spark: SparkSession, path: str, year: Column) -> tuple
         "file", (F.col("header_line") + F.col("children").isNotNull().cast("int")).alias("last_header"),
         *[place.cast("int").alias(f"at_{f}") for f, place in places.items()])
     usable = mapped.filter(F.col("at_eia_utility_id").isNotNull())
-    rows = lines.join(usable, "file").filter((F.col("block") > 0) | (F.col("line") > F.col("last_header")))
-    sheet = rows.select(year.alias("year"), *[F.get("cells", F.col(f"at_{f}") - 1).alias(f) for f in V.OPERATIONS_HEADERS])
+    # Rows go to the places of their file without the empty cells behind their last one, which most of the cells are.
+    last = F.array_max(F.transform("cells", lambda x, i: F.when(x != "", i + 1)))
+    short = lines.withColumn("cells", F.slice("cells", F.lit(1), F.coalesce(last, F.lit(0))))
+    # Files are few and may be large: the rows of each are dealt out to the places in several parts.  The hash
+    # is of the places: rows look small to the planner, which would send all of them to every task.
+    parted = short.withColumn("part", (F.col("line") % FILE_PARTS).cast("int")).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "part")
+    to_each = usable.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(FILE_PARTS - 1))))
+    rows = parted.join(to_each.hint("shuffle_hash"), ["file", "part"]).filter((F.col("block") > 0) | (F.col("line") > F.col("last_header")))
+
+    def cell(at: Column) -> Column:
+        return F.when(at.isNotNull(), F.coalesce(F.get("cells", at - 1), F.lit("")))
+
+    sheet = rows.select(year.alias("year"), *[cell(F.col(f"at_{f}")).alias(f) for f in V.OPERATIONS_HEADERS])
     others = lines.select("file").distinct().join(usable.select("file"), "file", "left_anti")
     return _typed_operations(sheet), others
 

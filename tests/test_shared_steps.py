@@ -5,11 +5,14 @@ import random
 import re
 from unittest.mock import MagicMock
 
+from pyspark.sql import functions as F
+
 from catalog import files
 from tariffworks import fixed_values as V
 from tariffworks.functions import rules
 from tariffworks.operators import linkage
 from tariffworks.plans import adapters
+from tariffworks.sources import readers
 
 T = datetime.datetime
 
@@ -99,3 +102,16 @@ def test_exports_read_stored_tables(monkeypatch):
     assert all(seen[x] == f"folder/tables/{x}" for x in (
         "rate_cases", "utility_operations", "utility_emissions", "utility_capacity", "rate_case_impacts"))
     assert impacts.call_args.args[0] == seen["rate_cases"] and impacts.call_args.args[2] == seen["utility_operations"]
+
+
+def test_rows_of_operations_files_are_not_broadcast(spark, tmp_path):
+    """Rows meet the header of their file in parts; cells behind the last filled one are empty, as before."""
+    (tmp_path / "year=1999").mkdir()
+    (tmp_path / "year=1999" / "a.csv").write_text(
+        "Utility Number,Utility Name,State,Total Customers\n" + "".join(f"{i},U{i},OR,{i * 10}\n" for i in range(1, 200)) + "200,U200\n,,\n")
+    rows, others = readers.read_operations_files(spark, f"{tmp_path}/*", F.regexp_extract("file", r"year=(\d+)", 1).cast("int"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [file" in plan and not re.search(r"BroadcastHashJoin \[file#\d+\]", plan)
+    got = {r.eia_utility_id: (r.utility_name, r.state, r.total_customers) for r in rows.collect()}
+    assert len(got) == 200 and got[7] == ("U7", "OR", 70) and got[200][0] == "U200" and got[200][2] is None
+    assert others.count() == 0
