@@ -3,8 +3,9 @@
 A bounded sample trains coarse centroids and, for each of several subspaces, a codebook of
 residuals.  Every vector is put into the inverted list of its nearest centroid as the codes of its
 residual.  As a query it probes every list that a vector within the threshold's angle can be in;
-no link is lost by it.  Within a list, distances to codes are sums of table look-ups; what the
-triangle inequality leaves is compared by cosine in double precision.
+no link is lost by it.  Within a list, products of a block of queries with what the codes stand for
+are one matrix product; what the triangle inequality of angles leaves is compared by cosine in
+double precision.
 
 Lists and their queries are cut into blocks, so that a list with a share of all vectors fits its
 tasks.  A block counts links and keeps spanning ones; no pair leaves it otherwise.
@@ -30,6 +31,8 @@ LIST, LISTS = 1000, 16_384
 SUBSPACES, CODES, ROUNDS = 8, 64, 10
 #: Against rounding, in cosines and distances.
 ROUNDING = 1e-9
+#: Numbers of the pairs of vectors that are multiplied at once to be confirmed.
+PAIR_NUMBERS = 1 << 21
 #: Vectors of a list and queries that meet in one task.
 MEMBERS, QUERIES = 1024, 4096
 
@@ -121,10 +124,21 @@ def _indexed(rows: DataFrame, model: Model, like: float) -> DataFrame:
         run, "vec_id long, n long, unit binary, list int, codes binary, off double, probes array<int>")
 
 
+def _least_product(squares: np.ndarray, off: np.ndarray, apart: float) -> np.ndarray:
+    """Least product of the code of a unit vector with a unit vector at most this angle apart from it.
+
+    By the triangle inequality of angles; squares are the squared lengths of the codes, off their squared distances.
+    """
+    size = np.sqrt(squares)
+    along = np.divide((1 + squares - off) / 2, size, out=np.ones(len(size)), where=size > 0)
+    return size * np.cos(np.minimum(np.arccos(np.clip(along, -1, 1)) + apart, np.pi))
+
+
 def _matched(model: Model, dim: int, like: float):
     """Counts of linked vectors and spanning links of one block of a list and one block of its queries."""
     parts = np.array_split(np.arange(dim), len(model.books))
-    limit = 2 * (1 - like)
+    exact, eps = max(1, PAIR_NUMBERS // dim), np.finfo(np.float32).eps
+    apart = np.arccos(np.clip(like, -1, 1))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy()
@@ -134,28 +148,33 @@ def _matched(model: Model, dim: int, like: float):
         x, y = _matrix(q["unit"], dim), _matrix(m["unit"], dim)
         qid, mid, weight = q["vec_id"].to_numpy(), m["vec_id"].to_numpy(), m["n"].to_numpy()
         codes = np.frombuffer(b"".join(m["codes"]), np.uint8).reshape(-1, len(parts))
-        off, centre = m["off"].to_numpy(), model.centroids[key[0]]
-        # A vector within the threshold is at most so far from the code of the other.
-        most = (np.sqrt(limit) + np.sqrt(off)) ** 2 + ROUNDING
+        # Products with what the codes stand for are sums over the subspaces; one matrix product makes them all.
+        coded = model.centroids[key[0]] + np.hstack([book[codes[:, s]] for s, book in enumerate(model.books)])
+        squares = (coded**2).sum(1)
+        least = _least_product(squares, m["off"].to_numpy(), apart) - 2 * (dim + 4) * eps * (1 + squares) - ROUNDING
+        rough, coded, least = x.astype(np.float32), coded.astype(np.float32).T, least.astype(np.float32)
         label_q, label_m = qid.copy(), mid.copy()
         found, pairs = np.zeros(len(q), np.int64), []
-        for i in range(len(q)):
-            rest, d = x[i] - centre, np.zeros(len(m))
-            for s, (part, book) in enumerate(zip(parts, model.books, strict=True)):
-                d += ((rest[part] - book) ** 2).sum(1)[codes[:, s]]
-            near = np.flatnonzero((d <= most) & (mid != qid[i]))
-            near = near[y[near] @ x[i] >= like]
-            found[i] = weight[near].sum()
-            if len(near):
-                pairs.append((i, near))
+        for i in range(0, len(q), 256):
+            a, b = np.nonzero(rough[i : i + 256] @ coded >= least)
+            a += i
+            other = qid[a] != mid[b]
+            a, b = a[other], b[other]
+            near = np.zeros(len(a), bool)
+            for k in range(0, len(a), exact):
+                near[k : k + exact] = np.einsum("ij,ij->i", x[a[k : k + exact]], y[b[k : k + exact]]) >= like
+            a, b = a[near], b[near]
+            np.add.at(found, a, weight[b])
+            for k, linked in zip(np.unique(a), np.split(b, np.flatnonzero(np.diff(a)) + 1), strict=False):
+                pairs.append((k, linked))
         changed = True
         while changed:
             changed = False
-            for i, near in pairs:
-                least = min(label_q[i], label_m[near].min())
-                if label_q[i] != least or (label_m[near] != least).any():
-                    label_q[i], changed = least, True
-                    label_m[near] = least
+            for i, linked in pairs:
+                first = min(label_q[i], label_m[linked].min())
+                if label_q[i] != first or (label_m[linked] != first).any():
+                    label_q[i], changed = first, True
+                    label_m[linked] = first
         moved = label_m != mid
         return pd.concat([
             pd.DataFrame({"vec_id": qid, "found": found, "linked": label_q}),

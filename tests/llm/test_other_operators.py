@@ -98,6 +98,25 @@ def test_vectors_empty(spark):
 CHAT = "conv_id long, turn long, role string, text string, speaker string, start int"
 
 
+def test_codes_leave_few_vectors_and_no_near_one_out():
+    numbers = np.random.default_rng(7)
+    x = pq._unit(numbers.normal(size=(4000, 64)))
+    model = pq.train(x, len(x))
+    lists = model.distances(x).argmin(1)
+    codes, off = model.coded(x, lists)
+    held = model.centroids[lists] + np.hstack([book[codes[:, s]] for s, book in enumerate(model.books)])
+    least = pq._least_product((held**2).sum(1), off, np.arccos(0.9))
+    assert (x @ held.T >= least).mean() < 0.03  # 0.2 by the triangle inequality of distances
+    aside = numbers.normal(size=x.shape)
+    aside = pq._unit(aside - (aside * x).sum(1, keepdims=True) * x)
+    near = 0.9 * x + np.sqrt(1 - 0.81) * aside
+    assert ((near * held).sum(1) >= least - 1e-9).all()
+    # The worst case lies in the plane of a vector and its code.
+    off_code = x * (held * x).sum(1, keepdims=True) - held
+    worst = 0.9 * x + np.sqrt(1 - 0.81) * pq._unit(off_code)
+    assert np.allclose((worst * held).sum(1), least)
+
+
 def test_perspectives_against_sql(spark):
     con = connect(SF)
     assert difference(chat.rotate(spark.read.parquet(f"{SF}/conversations.parquet")), con, chat.ROTATE_SQL) is None
