@@ -368,18 +368,12 @@ def confirmed_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
         return links
 
     # The pivot of a large group is its document closest to the most common tokens.
-    @F.pandas_udf("array<int>")
-    def unpacked(tokens: pd.Series) -> pd.Series:
-        return pd.Series(list(_tokens(tokens).astype(np.int32)) if len(tokens) else [], dtype=object)
-
-    listed = large.select("cluster", "doc_id", F.posexplode(unpacked("brief")).alias("at", "token"))
-    common = (
-        listed.groupBy("cluster", "at", "token").count()
-        .groupBy("cluster", "at").agg(F.max_by("token", F.struct("count", "token")).alias("token"))
-    )
+    listed = large.select("cluster", "doc_id", "brief", F.hex("brief").alias("digits"))
+    common = listed.groupBy("cluster").agg(F.unhex(F.concat(*[
+        F.mode(F.substring("digits", 2 * at + 1, 2), True) for at in range(TOKENS)])).alias("common"))
     pivots = (
-        listed.join(common, ["cluster", "at", "token"]).groupBy("cluster", "doc_id").count()
-        .groupBy("cluster").agg(F.max_by("doc_id", F.struct("count", -F.col("doc_id"))).alias("doc_id"))
+        listed.join(common, "cluster").withColumn("share", _equal_tokens("brief", "common"))
+        .groupBy("cluster").agg(F.max_by("doc_id", F.struct("share", -F.col("doc_id"))).alias("doc_id"))
     )
     pivots = large.join(pivots, ["cluster", "doc_id"]).dropDuplicates(["cluster"]).select(
         "cluster", F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_shingles"))
