@@ -8,6 +8,8 @@ import random
 import re
 import zlib
 
+import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -81,6 +83,25 @@ def test_construction_orders_suffixes(tmp_path):
         assert p == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+def test_windows_with_no_string_in_common_are_not_sorted():
+    """Windows of 72 bytes around one anchor, which agree in ever more bytes on its sides."""
+    gram, at, windows = b"g" * bwt.GRAM, bwt.MATCH - bwt.GRAM, []
+    for before in range(0, at + 1, 3):
+        for behind in range(0, at + 1, 3):
+            a, b = (f"{before:02}{behind:02}{k}".encode() * 5 for k in (0, 1))
+            shared = bytes(range(65, 65 + 22))
+            windows.append([(x[: at - before] + shared[at - before :] + gram + shared[:behind] + x[: at - behind])
+                            for x in (a[:22], b[:22])])
+    for pair in windows:
+        common = bwt.repeated(pair, np.array([1, 2]))[1] != 0
+        group = pd.DataFrame({"anchor": [5, 5, 6], "window": [*pair, pair[0]], "at": [at] * 3})
+        kept = bwt._may_share(group)
+        assert not kept[2] and kept[0] == kept[1]
+        assert kept[0] or not common
+    apart = pd.DataFrame({"anchor": [5, 5], "window": windows[0], "at": [at] * 2})
+    assert not bwt._may_share(apart).any()
+
+
 def test_split_strings_find_the_same():
     rng = random.Random(3)
     texts = [bytes(rng.choice(b"ab") for _ in range(60)) for _ in range(4)]
