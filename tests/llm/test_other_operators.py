@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -91,6 +93,47 @@ def test_vectors_whose_smallest_ids_are_dense(spark, monkeypatch):
     assert [i for i in range(len(x)) if got[i] != want[i]] == []
 
 
+def test_vectors_that_probe_all_lists_are_stored_once(spark, monkeypatch):
+    """Without clusters each vector probes all 20 lists; what is stored does not grow with their number."""
+    monkeypatch.setattr(pq, "LIST", 50)
+    folder = Path(urlparse(spark.conf.get("spark.checkpoint.dir")).path)
+    before = set(folder.glob("llm-*"))
+    x = np.random.default_rng(3).standard_normal((1000, 64))
+    got = pq.near_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0, i, True) for i in range(1000)]
+    steps = set(folder.glob("llm-*")) - before
+    assert sum(spark.read.parquet(str(f)).count() for f in steps) < 3 * 1000
+    assert sum(p.stat().st_size for f in steps for p in f.rglob("*.parquet")) < 2 * x.nbytes
+
+
+def test_vectors_of_many_blocks_against_force(spark, monkeypatch):
+    """Copies in other partitions, signed zeros, ids that two vectors have, and numbers of 24 and of 53 bits."""
+    monkeypatch.setattr(pq, "LIST", 20)
+    monkeypatch.setattr(pq, "MEMBERS", 8)
+    rng = np.random.default_rng(4)
+    near = np.repeat(rng.standard_normal((30, 8)), 6, axis=0) + 0.1 * rng.standard_normal((180, 8))
+    near[90:] = near[90:].astype(np.float32)
+    near[:12, 3] = 0.0
+    rows = [(i, x.tolist(), 0, None) for i, x in enumerate(near)]
+    rows += [(500 + i, (-0.0 * (near[i] == 0) + near[i]).tolist(), 0, None) for i in range(0, 180, 3)]
+    rows += [(900, near[k].tolist(), 0, None) for k in (1, 1, 170, 171)]
+    got = pq.near_vectors(spark.createDataFrame(rows, VECTORS).repartition(5))
+    links = dict.fromkeys(range(len(rows)), 0)
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.9).sum(1) - 1
+    alone = [i for i in links if rows[i][0] != 900]
+    assert {r[0]: r[1] for r in got.collect() if r[0] != 900} == {rows[i][0]: linked[i] for i in alone}
+
+
+def test_nearest_list_of_a_vector_does_not_depend_on_its_batch():
+    centroids = np.array([[1.0, 2.0, 3.0], [3.0, 2.0, 1.0], [1.0, 2.0, 3.0]])
+    model = pq.Model(centroids, [])
+    x = pq._unit(np.array([[1.0, 1.0, 1.0], [0.3, 0.3, 0.3], [7.0, 1.0, 0.0]]))
+    assert model.nearest(x).tolist() == [0, 0, 1]
+    assert [int(model.nearest(r[None])[0]) for r in x] == [0, 0, 1]
+
+
 def test_vectors_empty(spark):
     assert pq.near_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
