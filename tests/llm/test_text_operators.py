@@ -73,6 +73,61 @@ def test_repeats_of_a_split_anchor(spark):
     assert taken(bwt.remove_repeats(frame(spark, rows))) == lost_by_force(rows)
 
 
+def homes(texts, per_home=4):
+    return [pd.DataFrame({"home": k // per_home, "doc_id": range(k, k + per_home), "nth": 1, "text": texts[k : k + per_home],
+                          "prints": None}) for k in range(0, len(texts), per_home)]
+
+
+def test_anchors_found_once_are_not_sent():
+    """Texts of random words, a passage in two of them: what meets is the passage and a few others, and short."""
+    rng = random.Random(6)
+    passage = words(rng, 100).encode()
+    texts = [words(rng, 600).encode() + (passage if k in (3, 17) else b"") for k in range(24)]
+    bits, buckets = 30, 5
+    sent = pd.concat([p for f in homes(texts) for p in bwt._prints(iter([f]), buckets, bits)])
+    n = sum(len(bwt.anchors(bwt.byte_sums(np.frombuffer(t, np.uint8)), 0, len(t))[0]) for t in texts)
+    assert sent["prints"].map(len).sum() + sent["twice"].map(len).sum() < 4 * n
+    back = pd.concat([bwt._again(g) for _, g in sent.groupby("bucket")])
+    assert sorted(set(back["home"])) == list(range(6))
+    told = {h: list(g["prints"]) for h, g in back.groupby("home")}
+
+    def packs(told):
+        out = []
+        for f in homes(texts):
+            first = f.iloc[:1].assign(prints=[told[f["home"][0]]]) if told else f.iloc[:0]
+            out += [p for p in bwt._packs(iter([pd.concat([first, f])]), buckets, bits)]
+        return pd.concat(out)
+
+    few, every = packs(told), packs({})
+    count = lambda rows: sum(len(h) for h in rows["h"].dropna()) // 4
+    assert count(every) + sum(len(bwt._from_short([o])) for o in every["ords"].dropna()) == n
+    assert 2 * (len(passage) // 12 - 20) < count(few) < 0.1 * n
+    met = [pd.concat([bwt._met(g) for _, g in rows.groupby("bucket")]) for rows in (few, every)]
+    lost = [sorted((d, o) for d, w in zip(m["doc_id"], m["whole"]) for o in bwt._from_short([w])) for m in met]
+    assert lost[0] == lost[1] and {d for d, _ in lost[0]} == {17}
+
+
+def test_numbers_as_bytes():
+    numbers = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28 + 5, 2**31])
+    raw, ends = bwt._short(numbers)
+    assert bwt._from_short([raw[: ends[3]], b"", raw[ends[3] :]]).tolist() == numbers.tolist()
+    assert [len(raw[a:b]) for a, b in zip(ends[:-1], ends[1:])] == [1, 1, 1, 2, 2, 3, 4, 5, 5]
+    assert bwt._from_short([]).tolist() == [] and bwt._short(np.zeros(0, np.int64))[0] == b""
+    far = np.array([7, 3, 2**31, 0, -5, 2**62])
+    assert bwt._from_steps(bwt._steps(far, 8), 8).tolist() == far.tolist()
+    assert bwt._from_sparse(bwt._sparse(np.array([3, 9, 2**40], np.uint64))).tolist() == [3, 9, 2**40]
+
+
+def test_repeats_of_texts_with_one_id(spark):
+    """Texts of one doc_id are different texts, and take nothing from each other; copies of them are one."""
+    rng = random.Random(8)
+    texts = [words(rng, 60) for _ in range(8)]
+    rows = [(7, t, None, None, None, None, None, None, None) for t in texts]
+    rows += [(7, texts[0], *rows[0][2:]), (-(2**62), texts[1][20:200] + "x" * 60, *rows[0][2:]), (2**62, texts[2][10:], *rows[0][2:])]
+    rows += [(9, " ".join(t[30:140] for t in texts), *rows[0][2:])]
+    assert taken(bwt.remove_repeats(frame(spark, rows))) == lost_by_force(rows)
+
+
 def test_construction_orders_suffixes(tmp_path):
     rng = random.Random(2)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 12))).encode() for _ in range(30)]
